@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.kernels import hull_ring
 from ..functions.shapes import points_only
@@ -79,5 +78,5 @@ def convex_hull(
     """
     left, count = hull_survivors(points_only(points, x, y), one_task)
     if count > one_task:
-        return hull_by_pockets(left, one_task).select("x", "y").distinct().orderBy("x", "y")
+        return hull_by_pockets(left, one_task)
     return left.repartition(1).mapInArrow(_sorted_hull, _POINT)

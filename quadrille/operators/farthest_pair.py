@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.kernels import antipodal_pairs, best_pair
 from ..functions.shapes import points_only
-from ..plans.pockets import farthest_by_directions, hull_by_pockets
+from ..plans.pockets import farthest_by_edges
 from .convex_hull import _ONE_TASK, _columns, hull_survivors, local_hull
 
 _PAIR = "x1 double, y1 double, x2 double, y2 double, distance double"
@@ -39,7 +39,7 @@ def farthest_pair(
     valid = points_only(points, x, y)
     left, count = hull_survivors(valid, one_task)
     if count > one_task:
-        return farthest_by_directions(hull_by_pockets(left, one_task))
+        return farthest_by_edges(left, one_task)
     found = left.repartition(1).mapInArrow(_farthest, _PAIR)
     # only coincident points: the hull is one vertex, the pair has distance 0
     alone = left.agg(

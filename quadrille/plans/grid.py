@@ -375,7 +375,7 @@ def meet(
         t = t.select("key", *box, *carried, "cx", "cy", "cx0", "cy0", *lev, *own)
         q = q.select("key", *queries.columns, "cx0", "cy0", *own)
     keys = ["key"]
-    if broadcast is None:
+    if broadcast is None and not targets.isStreaming:
         t, q, keys = _salted(t, q)
     t, q = _prefixed(t, "t_"), _prefixed(q, "q_")
     for k in keys[1:]:
