@@ -120,7 +120,7 @@ def _join_up(chain: DataFrame) -> DataFrame | None:
     last = last.select("side", F.col("e.x").alias("px"), F.col("e.v").alias("pv"),
                        F.col("e.nx").alias("x"), F.col("e.nv").alias("v"))
     first = chain.where("seq = 0").select("side", "ax", "x", "v", "nx", "nv")
-    joints = last.join(first, ["side", "x", "v"])
+    joints = last.join(first, ["side", "x", "v"]).where("px < x")
     turns = checkpointed(
         joints.select("side", "ax", "px", "pv", "x", "v", "nx", "nv").mapInPandas(
             _wrong_turns, "side int, ax double, good boolean"
