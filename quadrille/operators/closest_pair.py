@@ -157,7 +157,7 @@ def closest_pair(
     pts = points_only(points, x, y)
     size = pts.agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr("approx_top_k(xxhash64(x, y), 1, 10000)[0].count").alias("top"),
+        F.expr("get(approx_top_k(xxhash64(x, y), 1, 10000), 0).count").alias("top"),
         (F.max("x") - F.min("x")).alias("span_x"),
         (F.max("y") - F.min("y")).alias("span_y"),
     ).first()
