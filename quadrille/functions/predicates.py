@@ -8,6 +8,8 @@ the border from overlap of the interiors.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, SparkSession
@@ -36,14 +38,11 @@ def box_of(prefix: str = "") -> Box:
 
 
 def is_finite(*coords: Column) -> Column:
-    """True when every coordinate is a finite number.
+    """True when every coordinate is a finite number; null for null.
 
     Spark sorts NaN above infinity, so one comparison rejects both.
     """
-    cond = F.lit(True)
-    for c in coords:
-        cond = cond & F.coalesce(F.abs(c) < F.lit(math.inf), F.lit(False))
-    return cond
+    return reduce(and_, (F.abs(c) < F.lit(math.inf) for c in coords))
 
 
 def point_in_box(x: Column, y: Column, b: Box) -> Column:

@@ -50,8 +50,9 @@ def keep_valid(
     """
     good = is_finite(*(F.col(c).cast("double") for c in columns))
     if observation is not None:
+        bad = ~F.coalesce(good, F.lit(False))
         df = df.observe(
-            observation, F.count_if(~good).alias("bad_rows"), F.count(F.lit(1)).alias("rows")
+            observation, F.count_if(bad).alias("bad_rows"), F.count(F.lit(1)).alias("rows")
         )
     if on_bad == "drop":
         return df.where(good)

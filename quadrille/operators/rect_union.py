@@ -16,7 +16,8 @@ from .spatial_join import as_boxes
 _TILE_LIMIT = 64  # boxes in one tile before it is split
 _SPLIT = 2  # a hot tile becomes 2**_SPLIT x 2**_SPLIT tiles
 _ROUNDS = 8
-_TILE = ("level", "cx", "cy")
+_TILE = ("tx", "cy")  # tx = cx * _LEVELS + level
+_LEVELS = 16
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 _STRAIGHT = (3, 6, 9, 12)  # two neighbouring quadrants: the outline runs straight on
 
@@ -69,6 +70,10 @@ def _cut(lo: Column, tile: Column, hi: Column, first: str, last: str) -> tuple[C
     )
 
 
+def _tx(cx: str, level: int) -> Column:
+    return (F.col(cx) * _LEVELS + level).alias("tx")
+
+
 class _Tiling:
     def __init__(self, ext: grid.Extents) -> None:
         self.x0, self.y0 = ext.xmin, ext.ymin
@@ -85,7 +90,10 @@ class _Tiling:
 
     @staticmethod
     def listed(ranged: DataFrame, level: int) -> DataFrame:
-        """Boxes in the tiles that their border runs through, cut to the tile."""
+        """Boxes in the tiles that their border runs through, cut to the tile.
+
+        Equal rows are left in.
+        """
         side = (F.col("cx") == F.col("cx0")) | (F.col("cx") == F.col("cx1"))
         along = F.when(side, F.sequence("cy0", "cy1")).otherwise(
             F.array_distinct(F.array("cy0", "cy1"))
@@ -96,9 +104,9 @@ class _Tiling:
         x1, x2 = _cut(F.col("cx0"), F.col("cx"), F.col("cx1"), "xmin", "xmax")
         y1, y2 = _cut(F.col("cy0"), F.col("cy"), F.col("cy1"), "ymin", "ymax")
         return rows.select(
-            F.lit(level).alias("level"), "cx", "cy",
+            _tx("cx", level), "cy",
             x1.alias("xmin"), y1.alias("ymin"), x2.alias("xmax"), y2.alias("ymax"),
-        ).dropDuplicates()
+        )
 
 
 def _without_covered(rows: DataFrame, ranged: DataFrame, big: bool) -> DataFrame:
@@ -118,22 +126,19 @@ def _without_covered(rows: DataFrame, ranged: DataFrame, big: bool) -> DataFrame
     ext = grid.measure(inner)
     if ext.rows == 0:
         return rows
-    tiles = rows.select("cx", "cy").distinct()
-    points = tiles.select(
-        *(F.col(c).cast("double").alias(n) for c, n in zip(("cx", "cy", "cx", "cy"), _BOX)),
-        "cx",
-        "cy",
-    )
+    tiles = rows.select(*_TILE).distinct()
+    number = {"x": (F.col("tx") / _LEVELS).cast("double"), "y": F.col("cy").cast("double")}
+    points = tiles.select(*(number[n[0]].alias(n) for n in _BOX), *_TILE)
     layout = grid.plan_layout(ext, None)
     side = "queries" if layout.query_cells <= grid._BROADCAST_ROWS else None
     q, t = box_of("q_"), box_of("t_")
     covered = (
         grid.meet(points, inner, layout, True, side)
         .where(t.xmin.between(q.xmin, q.xmax) & t.ymin.between(q.ymin, q.ymax))
-        .select(F.col("t_cx").alias("cx"), F.col("t_cy").alias("cy"))
+        .select(*(F.col("t_" + c).alias(c) for c in _TILE))
         .distinct()
     )
-    return rows.join(covered, ["cx", "cy"], "left_anti")
+    return rows.join(covered, list(_TILE), "left_anti")
 
 
 def _split(rows: DataFrame, level: int, tiling: _Tiling) -> DataFrame:
@@ -143,7 +148,8 @@ def _split(rows: DataFrame, level: int, tiling: _Tiling) -> DataFrame:
     Children inside one box are dropped.
     """
     n = 1 << _SPLIT
-    ranged = tiling.ranges(rows.drop("level"), level)
+    parent = F.floor(F.col("tx") / _LEVELS).cast("long").alias("cx")
+    ranged = tiling.ranges(rows.select(parent, "cy", *_BOX), level)
     for c in ("cx", "cy"):
         lo, hi = F.col(c) * n, F.col(c) * n + (n - 1)
         side = ("xmin", "xmax") if c == "cx" else ("ymin", "ymax")
@@ -168,7 +174,7 @@ def _split(rows: DataFrame, level: int, tiling: _Tiling) -> DataFrame:
     x1, x2 = _cut(F.col("cx0"), F.col("new_cx"), F.col("cx1"), "xmin", "xmax")
     y1, y2 = _cut(F.col("cy0"), F.col("new_cy"), F.col("cy1"), "ymin", "ymax")
     children = ranged.select(
-        F.lit(level).alias("level"), F.col("new_cx").alias("cx"), F.col("new_cy").alias("cy"),
+        _tx("new_cx", level), F.col("new_cy").alias("cy"),
         x1.alias("xmin"), y1.alias("ymin"), x2.alias("xmax"), y2.alias("ymax"),
     ).dropDuplicates()
     covering = (
@@ -184,17 +190,18 @@ def _tiles(boxes: DataFrame, ext: grid.Extents) -> DataFrame:
     tiling = _Tiling(ext)
     big = any(bx > tiling.ex and by > tiling.ey for bx, by, _ in ext.sizes)
     ranged = tiling.ranges(boxes, 0)
-    rows = _without_covered(tiling.listed(ranged, 0), ranged, big)
+    raw = _without_covered(tiling.listed(ranged, 0), ranged, big)
+    rows = raw.dropDuplicates()
     done: DataFrame | None = None
     for level in range(1, _ROUNDS + 1):
         hot = checkpointed(
-            rows.groupBy(*_TILE).count().where(F.col("count") > _TILE_LIMIT).select(*_TILE)
+            raw.groupBy(*_TILE).count().where(F.col("count") > _TILE_LIMIT).select(*_TILE)
         )
         if level == _ROUNDS or hot.count() == 0:
             break
         cool = rows.join(hot, list(_TILE), "left_anti")
         done = cool if done is None else done.unionByName(cool)
-        rows = checkpointed(_split(rows.join(hot, list(_TILE), "left_semi"), level, tiling))
+        raw = rows = checkpointed(_split(rows.join(hot, list(_TILE), "left_semi"), level, tiling))
     return rows if done is None else done.unionByName(rows)
 
 
@@ -229,9 +236,13 @@ def rect_union(
     tiled = _tiles(boxes, ext).select(*_TILE, *_BOX).repartition(*_TILE)
     upright = _either(tiled, "x", "xmin", "xmax", F.col("ymin").alias("v1"), F.col("ymax").alias("v2"))
     flat = _either(tiled, "y", "ymin", "ymax", F.col("xmin").alias("h1"), F.col("xmax").alias("h2"))
-    crossings = upright.join(flat, list(_TILE)).where("h1 < x AND x < h2 AND v1 < y AND y < v2")
-    corners = _either(_either(tiled, "x", "xmin", "xmax", "ymin", "ymax"), "y", "ymin", "ymax", "x")
-    vertices = crossings.select(*_TILE, "x", "y").union(corners.select(*_TILE, "x", "y")).distinct()
+    # the sides of one rectangle meet in its corners, those of two in crossings
+    vertices = (
+        upright.join(flat, list(_TILE))
+        .where("h1 <= x AND x <= h2 AND v1 <= y AND y <= v2")
+        .select(*_TILE, "x", "y")
+        .distinct()
+    )
     x, y, b = F.col("x"), F.col("y"), box_of()
     right, left, above, below = x < b.xmax, x > b.xmin, y < b.ymax, y > b.ymin
     quadrants = [(right & above, 1), (left & above, 2), (left & below, 4), (right & below, 8)]

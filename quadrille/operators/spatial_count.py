@@ -13,9 +13,9 @@ from ..plans import grid
 from .spatial_join import as_boxes, matched, side_to_broadcast
 
 # Cells per query side (as a power of two) when whole cells are counted.
-_FINER = 3
+_FINER = range(3, 6)
 # Average number of queries over a point from which counting cells pays.
-_OVERLAP = 8.0
+_OVERLAP = 32.0
 
 
 def _count_by_cells(points: DataFrame, queries: DataFrame, ext: grid.Extents) -> DataFrame:
@@ -25,13 +25,13 @@ def _count_by_cells(points: DataFrame, queries: DataFrame, ext: grid.Extents) ->
     A cell between the end cells of a box holds only points of the box, because
     cells are monotone in the coordinate.
     """
-    layout = grid.plan_layout(ext, None, finer=_FINER)
+    layout = grid.fine_layout(ext, _FINER)
     side = side_to_broadcast("auto", layout, points, None)
     inside = (
         (F.col("cx") > F.col("cx0")) & (F.col("cx") < F.col("cx1"))
         & (F.col("cy") > F.col("cy0")) & (F.col("cy") < F.col("cy1"))
     )
-    whole = grid.query_cells(queries, layout).where(inside).select("key", "qid")
+    whole = grid.whole_cells(queries, layout, inside)
     if side == "queries":
         whole = F.broadcast(whole)
     histogram = grid.cell_counts(points, layout)

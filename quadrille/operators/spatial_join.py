@@ -12,6 +12,9 @@ from ..functions.predicates import Box, box_of
 from ..functions.shapes import coordinate_columns, keep_valid, to_box
 from ..plans import grid
 
+# Powers of two by which cells may be smaller than the queries.
+_FINER_JOIN = range(1, 3)
+
 
 def as_boxes(
     df: DataFrame, columns: Sequence[str] | None, keep: Sequence[tuple[str, str]]
@@ -65,7 +68,10 @@ def matched(
     t_ext = None if points or targets.isStreaming else grid.measure(targets)
     if t_ext is not None and t_ext.rows == 0:
         t_ext = None
-    layout = grid.plan_layout(q_ext, t_ext)
+    if points:
+        layout = grid.fine_layout(q_ext, _FINER_JOIN)
+    else:
+        layout = grid.plan_layout(q_ext, t_ext)
     side = side_to_broadcast(strategy, layout, targets, t_ext)
     if weigh:
         if side is None and not targets.isStreaming:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,12 +182,33 @@ def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> La
     )
 
 
+def fine_layout(queries: Extents, finer: range, rows: int = _BROADCAST_ROWS) -> Layout:
+    """Layout for point targets with the smallest cells that keep the query side small.
+
+    Smaller cells mean fewer points compared in vain and more rows per query.
+    """
+    for f in reversed(finer):
+        layout = plan_layout(queries, None, f)
+        if layout.query_cells <= rows:
+            break
+    return layout
+
+
+class _Lev(NamedTuple):
+    """Level of a row: literals when there is only one level, else column ``lev``."""
+
+    lid: Column
+    ex: Column
+    ey: Column
+
+
+def _literal_level(layout: Layout, level: tuple[int, int]) -> _Lev:
+    return _Lev(F.lit(layout.levels.index(level)).cast("long"), F.lit(level[0]), F.lit(level[1]))
+
+
 def _level_struct(layout: Layout, level: tuple[int, int]) -> Column:
-    return F.struct(
-        F.lit(layout.levels.index(level)).cast("long").alias("lid"),
-        F.lit(level[0]).alias("ex"),
-        F.lit(level[1]).alias("ey"),
-    )
+    lev = _literal_level(layout, level)
+    return F.struct(lev.lid.alias("lid"), lev.ex.alias("ex"), lev.ey.alias("ey"))
 
 
 def _with_levels(
@@ -194,14 +216,18 @@ def _with_levels(
     layout: Layout,
     own: list[tuple[int, int]] | None,
     other: list[tuple[int, int]] | None,
-) -> DataFrame:
-    """One row per level on which the box has to appear (column ``lev``)."""
+) -> tuple[DataFrame, _Lev]:
+    """One row per level on which the box has to appear.
+
+    ``own`` and ``other`` are the levels that occur in the two tables; without ``own`` a
+    row appears on every level.
+    """
     if len(layout.levels) == 1:
-        return df.withColumn("lev", _level_struct(layout, layout.levels[0]))
+        return df, _literal_level(layout, layout.levels[0])
+    lev = _Lev(F.col("lev.lid"), F.col("lev.ex"), F.col("lev.ey"))
     if own is None:
-        return df.withColumn(
-            "lev", F.explode(F.array(*(_level_struct(layout, lv) for lv in layout.levels)))
-        )
+        levels = F.array(*(_level_struct(layout, lv) for lv in layout.levels))
+        return df.select("*", F.explode(levels).alias("lev")), lev
     entries: list[Column] = []
     for ox, oy in own:
         met = sorted({(max(ox, x), max(oy, y)) for x, y in other or [layout.base]})
@@ -209,50 +235,47 @@ def _with_levels(
             F.struct(F.lit(ox).alias("own_x"), F.lit(oy).alias("own_y")),
             F.array(*(_level_struct(layout, lv) for lv in met)),
         ]
-    return df.withColumn(
-        "lev", F.explode(F.element_at(F.create_map(*entries), F.struct("own_x", "own_y")))
+    b = box_of()
+    df = df.select(
+        "*",
+        layout.own_level(0, b.xmax - b.xmin).alias("own_x"),
+        layout.own_level(1, b.ymax - b.ymin).alias("own_y"),
     )
+    levels = F.element_at(F.create_map(*entries), F.struct("own_x", "own_y"))
+    return df.select("*", F.explode(levels).alias("lev")), lev
 
 
 def _cell(value: Column, origin: float, exponent: Column) -> Column:
     return F.floor((value - F.lit(origin)) * F.pow(F.lit(2.0), -exponent.cast("double")))
 
 
-def _pack(cx: Column, cy: Column) -> Column:
+def _pack(lev: _Lev, cx: Column, cy: Column) -> Column:
     side = F.lit(1 << _CELL_BITS)
-    return (F.col("lev.lid") * side + cx) * side + cy
+    return (lev.lid * side + cx) * side + cy
+
 
+def _cover(df: DataFrame, layout: Layout, lev: _Lev, clip: bool) -> DataFrame:
+    """One row per covered cell: ``cx, cy, key`` and the range ``cx0 .. cy1``.
 
-def cell_ranges(df: DataFrame, layout: Layout, clip: bool) -> DataFrame:
-    """Adds ``cx0, cx1, cy0, cy1``, the cell range on the row's level."""
+    ``clip`` limits the range to the window of the queries.
+    """
     b, (x0, y0, x1, y1) = box_of(), layout.window
-    ex, ey = F.col("lev.ex"), F.col("lev.ey")
-    lo_x, hi_x = _cell(b.xmin, x0, ex), _cell(b.xmax, x0, ex)
-    lo_y, hi_y = _cell(b.ymin, y0, ey), _cell(b.ymax, y0, ey)
+    lo_x, hi_x = _cell(b.xmin, x0, lev.ex), _cell(b.xmax, x0, lev.ex)
+    lo_y, hi_y = _cell(b.ymin, y0, lev.ey), _cell(b.ymax, y0, lev.ey)
     if clip:
-        lo_x, hi_x = F.greatest(lo_x, F.lit(0)), F.least(hi_x, _cell(F.lit(x1), x0, ex))
-        lo_y, hi_y = F.greatest(lo_y, F.lit(0)), F.least(hi_y, _cell(F.lit(y1), y0, ey))
-    return df.withColumns({"cx0": lo_x, "cx1": hi_x, "cy0": lo_y, "cy1": hi_y})
-
-
-def _explode_cells(df: DataFrame) -> DataFrame:
-    return df.withColumn("cx", F.explode(F.sequence("cx0", "cx1"))).withColumn(
-        "cy", F.explode(F.sequence("cy0", "cy1"))
-    )
+        lo_x, hi_x = F.greatest(lo_x, F.lit(0)), F.least(hi_x, _cell(F.lit(x1), x0, lev.ex))
+        lo_y, hi_y = F.greatest(lo_y, F.lit(0)), F.least(hi_y, _cell(F.lit(y1), y0, lev.ey))
+    ranged = df.select(
+        "*", lo_x.alias("cx0"), hi_x.alias("cx1"), lo_y.alias("cy0"), hi_y.alias("cy1"),
+        F.explode(F.sequence(lo_x, hi_x)).alias("cx"),
+    )
+    return ranged.select("*", F.explode(F.sequence("cy0", "cy1")).alias("cy"))
 
 
-def query_cells(queries: DataFrame, layout: Layout) -> DataFrame:
-    """Query boxes on their levels, one row per covered cell, with ``key``."""
-    b = box_of()
-    df = queries.withColumns(
-        {
-            "own_x": layout.own_level(0, b.xmax - b.xmin),
-            "own_y": layout.own_level(1, b.ymax - b.ymin),
-        }
-    )
-    df = _with_levels(df, layout, layout.query_levels, layout.target_levels)
-    df = _explode_cells(cell_ranges(df, layout, clip=False))
-    return df.withColumn("key", _pack(F.col("cx"), F.col("cy")))
+def query_cells(queries: DataFrame, layout: Layout) -> tuple[DataFrame, _Lev]:
+    """Query boxes on their levels, one row per covered cell."""
+    df, lev = _with_levels(queries, layout, layout.query_levels, layout.target_levels)
+    return _cover(df, layout, lev, clip=False), lev
 
 
 def in_window(df: DataFrame, layout: Layout) -> DataFrame:
@@ -263,27 +286,24 @@ def in_window(df: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def target_cells(targets: DataFrame, layout: Layout, points: bool) -> DataFrame:
-    """Targets inside the window of the queries, one row per level and cell."""
-    b = box_of()
-    df = in_window(targets, layout)
-    own = layout.target_levels
-    if own is not None:
-        df = df.withColumns(
-            {
-                "own_x": layout.own_level(0, b.xmax - b.xmin),
-                "own_y": layout.own_level(1, b.ymax - b.ymin),
-            }
-        )
-    df = _with_levels(df, layout, own, layout.query_levels)
-    if points:
-        x0, y0 = layout.window[:2]
-        df = df.withColumns(
-            {"cx": _cell(b.xmin, x0, F.col("lev.ex")), "cy": _cell(b.ymin, y0, F.col("lev.ey"))}
-        )
-    else:
-        df = _explode_cells(cell_ranges(df, layout, clip=True))
-    return df.withColumn("key", _pack(F.col("cx"), F.col("cy")))
+def target_cells(targets: DataFrame, layout: Layout, points: bool) -> tuple[DataFrame, _Lev]:
+    """Targets inside the window of the queries, one row per level and cell.
+
+    A point has one cell per level, so its cell stays an expression of the caller.
+    """
+    df, lev = _with_levels(in_window(targets, layout), layout, layout.target_levels, layout.query_levels)
+    return (df if points else _cover(df, layout, lev, clip=True)), lev
+
+
+def _point_key(layout: Layout, lev: _Lev) -> Column:
+    b, (x0, y0, _, _) = box_of(), layout.window
+    return _pack(lev, _cell(b.xmin, x0, lev.ex), _cell(b.ymin, y0, lev.ey))
+
+
+def whole_cells(queries: DataFrame, layout: Layout, inside: Column) -> DataFrame:
+    """(key, qid) of the cells that satisfy ``inside``."""
+    df, lev = query_cells(queries, layout)
+    return df.where(inside).select(_pack(lev, F.col("cx"), F.col("cy")).alias("key"), "qid")
 
 
 def cell_counts(points: DataFrame, layout: Layout) -> DataFrame:
@@ -295,17 +315,13 @@ def cell_counts(points: DataFrame, layout: Layout) -> DataFrame:
         .groupBy(_cell(b.xmin, x0, base[0]).alias("fx"), _cell(b.ymin, y0, base[1]).alias("fy"))
         .agg(F.sum("n").alias("n"))
     )
-    df = _with_levels(fine, layout, None, None)
-
-    def coarse(fine_cell: str, level: str, axis: int) -> Column:
-        return F.floor(F.col(fine_cell) * F.pow(F.lit(2.0), (base[axis] - F.col(level)).cast("double")))
-
-    df = df.withColumn("key", _pack(coarse("fx", "lev.ex", 0), coarse("fy", "lev.ey", 1)))
-    return df.groupBy("key").agg(F.sum("n").alias("n"))
+    df, lev = _with_levels(fine, layout, None, None)
 
+    def coarse(fine_cell: str, level: Column, axis: int) -> Column:
+        return F.floor(F.col(fine_cell) * F.pow(F.lit(2.0), (base[axis] - level).cast("double")))
 
-def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select("key", *(F.col(c).alias(prefix + c) for c in df.columns if c != "key"))
+    key = _pack(lev, coarse("fx", lev.ex, 0), coarse("fy", lev.ey, 1))
+    return df.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
 
 
 def _salted(t: DataFrame, q: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -360,26 +376,27 @@ def meet(
     Each pair of rows that share a point appears exactly once.  ``broadcast``
     names the side that is small enough to send everywhere, ``None`` shuffles.
     """
-    lev = [] if len(layout.levels) == 1 else ["lev"]
-    carried = [c for c in targets.columns if c not in ("xmin", "ymin", "xmax", "ymax")]
-    box = ["xmin", "ymin", "xmax", "ymax"]
-    t = target_cells(targets, layout, points)
-    q = query_cells(queries, layout)
+    several = len(layout.levels) > 1 and layout.target_levels is not None
+    t, t_lev = target_cells(targets, layout, points)
+    q, q_lev = query_cells(queries, layout)
     if query_filter is not None:
         q = q.where(query_filter)
-    if points:
-        t = t.select("key", *box, *carried)
-        q = q.select("key", *queries.columns)
-    else:
-        own = ["own_x", "own_y"] if layout.target_levels is not None and lev else []
-        t = t.select("key", *box, *carried, "cx", "cy", "cx0", "cy0", *lev, *own)
-        q = q.select("key", *queries.columns, "cx0", "cy0", *own)
+    corner, level, cell = [], [], []
+    if not points:
+        corner, cell = ["cx0", "cy0"], ["cx", "cy"]
+        level = ["own_x", "own_y"] if several else []
+    q_key = _pack(q_lev, F.col("cx"), F.col("cy"))
+    t_key = _point_key(layout, t_lev) if points else _pack(t_lev, F.col("cx"), F.col("cy"))
+    t_more = [t_lev.ex.alias("t_ex"), t_lev.ey.alias("t_ey")] if level else []
+
+    def side(df: DataFrame, key: Column, prefix: str, names: list[str], more: list[Column]) -> DataFrame:
+        return df.select(key.alias("key"), *(F.col(c).alias(prefix + c) for c in names), *more)
+
+    t = side(t, t_key, "t_", targets.columns + corner + cell + level, t_more)
+    q = side(q, q_key, "q_", queries.columns + corner + level, [])
     keys = ["key"]
     if broadcast is None and not targets.isStreaming:
         t, q, keys = _salted(t, q)
-    t, q = _prefixed(t, "t_"), _prefixed(q, "q_")
-    for k in keys[1:]:
-        t, q = t.withColumnRenamed("t_" + k, k), q.withColumnRenamed("q_" + k, k)
     if broadcast == "queries":
         q = F.broadcast(q)
     elif broadcast == "targets":
@@ -390,10 +407,10 @@ def meet(
     owner = (F.col("t_cx") == F.greatest("t_cx0", "q_cx0")) & (
         F.col("t_cy") == F.greatest("t_cy0", "q_cy0")
     )
-    if lev and layout.target_levels is not None:
+    if level:
         owner = (
             owner
-            & (F.col("t_lev.ex") == F.greatest("t_own_x", "q_own_x"))
-            & (F.col("t_lev.ey") == F.greatest("t_own_y", "q_own_y"))
+            & (F.col("t_ex") == F.greatest("t_own_x", "q_own_x"))
+            & (F.col("t_ey") == F.greatest("t_own_y", "q_own_y"))
         )
     return pairs.where(owner)
