@@ -164,7 +164,7 @@ def closest_pair(
     n = size.n
     if n < 2:
         return _as_result(_copies(pts))
-    if n > _ROWS_PER_STRIP and size.top * _HOT_SHARE > n:
+    if n > _ROWS_PER_STRIP and (size.top or 0) * _HOT_SHARE > n:
         # many copies of one point would fill one strip; grouping collapses them
         # before its shuffle, and one pair of copies settles the answer
         copies = checkpointed(_as_result(_copies(pts)))

@@ -30,6 +30,8 @@ _MAX_LEVELS = 12
 _BROADCAST_ROWS = 500_000
 _HOT_TARGETS = 1_000_000
 _HOT_QUERIES = 10_000
+# Real boxes crowd together; pairs weigh more than an even spread suggests.
+_CROWDING = 4.0
 
 
 @dataclass
@@ -121,6 +123,38 @@ def _quantise(e: int | None, base: int, step: int, finer: int) -> int:
     return max(base, base + (e - finer - base) // step * step)
 
 
+def _work(queries: Extents, targets: Extents, base: tuple[int, int], step: int, finer: int) -> float:
+    """Rows placed in cells and pairs compared, for boxes spread evenly.
+
+    Only ranks layouts; the result of the join does not depend on it.
+    """
+    area = max(queries.xmax - queries.xmin, 2.0 ** base[0]) * max(queries.ymax - queries.ymin, 2.0 ** base[1])
+
+    def sized(ext: Extents) -> list[tuple[float, float, int, tuple[int, int]]]:
+        return [
+            (0.0 if ex is None else 2.0**ex, 0.0 if ey is None else 2.0**ey, n,
+             (_quantise(ex, base[0], step, finer), _quantise(ey, base[1], step, finer)))
+            for ex, ey, n in ext.sizes
+        ]
+
+    def cells(w: float, h: float, level: tuple[int, int]) -> float:
+        return (w / 2.0 ** level[0] + 1) * (h / 2.0 ** level[1] + 1)
+
+    q_sized, t_sized = sized(queries), sized(targets)
+    q_own, t_own = {s[3] for s in q_sized}, {s[3] for s in t_sized}
+    work = 0.0
+    for mine, others in ((q_sized, t_own), (t_sized, q_own)):
+        for w, h, n, own in mine:
+            met = {(max(own[0], o[0]), max(own[1], o[1])) for o in others}
+            work += 3 * n * sum(cells(w, h, level) for level in met)
+    for qw, qh, qn, q_level in q_sized:
+        for tw, th, tn, t_level in t_sized:
+            level = (max(q_level[0], t_level[0]), max(q_level[1], t_level[1]))
+            share = min(1.0, 2.0 ** (level[0] + level[1]) / area)
+            work += _CROWDING * qn * tn * cells(qw, qh, level) * cells(tw, th, level) * share
+    return work
+
+
 def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> Layout:
     """Choose cell sides from the sizes that occur.
 
@@ -138,29 +172,36 @@ def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> La
             for ex, ey, _ in ext.sizes
         }
 
+    def base_for(share: float) -> tuple[int, int]:
+        spans = (span_x, span_y)
+        return tuple(
+            max(
+                _base_exponent([(s[axis], s[2]) for s in queries.sizes], share, spans[axis], queries.rows)
+                - finer,
+                lowest(spans[axis]),
+            )
+            for axis in (0, 1)
+        )
+
     tries = ((0.05, 2), (0.05, 3), (0.25, 3), (0.5, 3), (0.5, 5), (0.9, 5), (1.0, 5))
     if finer:  # cells grow with the square of the step
         tries = ((0.05, 1), (0.05, 2), (0.25, 2), (0.5, 2), (0.9, 2), (1.0, 2))
+    # points are not measured: assume many per query
+    ranked = targets or Extents(sizes=[(None, None, 1000 * queries.rows)])
+    best = None
     for share, step in tries:
-        base = (
-            max(
-                _base_exponent([(s[0], s[2]) for s in queries.sizes], share, span_x, queries.rows)
-                - finer,
-                lowest(span_x),
-            ),
-            max(
-                _base_exponent([(s[1], s[2]) for s in queries.sizes], share, span_y, queries.rows)
-                - finer,
-                lowest(span_y),
-            ),
-        )
+        base = base_for(share)
         q_levels = levels_of(queries, base, step)
         t_levels = levels_of(targets, base, step) if targets else None
         both = {
             (max(qx, tx), max(qy, ty)) for qx, qy in q_levels for tx, ty in (t_levels or {base})
         }
-        if len(both) <= _MAX_LEVELS:
-            break
+        if len(both) > _MAX_LEVELS and share < 1.0:
+            continue
+        work = _work(queries, ranked, base, step, finer)
+        if best is None or work < best[0]:
+            best = (work, base, step, q_levels, t_levels, both)
+    _, base, step, q_levels, t_levels, both = best
 
     cells = 0
     for ex, ey, n in queries.sizes:
