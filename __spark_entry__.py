@@ -196,6 +196,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_lines_points": lambda s, d: qd.to_lines(
             qd.spatial_join(pts(s, d), qr(s, d), output="lists")
         ),
+        "join_parts": lambda s, d: _lists_as_text(
+            qd.spatial_join(pts(s, d), qr(s, d), output="parts")
+        ),
         "join_relations": _relations,
         "sql_predicates": _sql_predicates,
         "count_points": lambda s, d: qd.spatial_count(pts(s, d), qr(s, d)),
@@ -346,6 +349,7 @@ def oracle_sql() -> dict[str, str]:
         f" FROM ({join_rects}) GROUP BY qid",
         "join_lines_points": f"SELECT CAST(qid AS VARCHAR) || ',' || {lists} AS value"
         f" FROM ({join_points}) GROUP BY qid",
+        "join_parts": f"SELECT qid, {lists} AS tids FROM ({join_points}) GROUP BY qid",
         "join_relations": f"WITH {_TR}, {_QR},"
         f" both_q AS (SELECT * FROM qr UNION ALL SELECT * FROM tr) {relations}",
         "sql_predicates": f"WITH {_TR}, {_QR} SELECT q.id AS qid, t.id AS tid, ({_INSIDE}) AS contains,"

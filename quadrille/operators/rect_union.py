@@ -49,9 +49,20 @@ def _tile_size(ext: grid.Extents) -> tuple[int, int]:
             for bx, by, n in ext.sizes
         )
 
+    def crowd(up: int) -> float:
+        """Boxes whose border passes a tile, were they spread evenly."""
+        w, h = 2.0 ** (ex + up), 2.0 ** (ey + up)
+        area = max(w, ext.xmax - ext.xmin) * max(h, ext.ymax - ext.ymin)
+        return sum(
+            n * ((2.0**bx + w) * (2.0**by + h) - max(0.0, 2.0**bx - w) * max(0.0, 2.0**by - h)) / area
+            for bx, by, n in ext.sizes
+        )
+
     up = 0
     while listed(up) > 16 * ext.rows and up < 60:
         up += 1
+    while crowd(up) > _TILE_LIMIT and listed(up - 1) <= 64 * ext.rows:
+        up -= 1
     return ex + up, ey + up
 
 

@@ -11,9 +11,12 @@ from ..functions import predicates as P
 from ..functions.predicates import Box, box_of
 from ..functions.shapes import coordinate_columns, keep_valid, to_box
 from ..plans import grid
+from ..plans.materialize import checkpointed
 
 # Powers of two by which cells may be smaller than the queries.
 _FINER_JOIN = range(1, 3)
+# Target ids in one part of a long list.
+_PART = 1_000_000
 
 
 def as_boxes(
@@ -84,6 +87,22 @@ def matched(
     return pairs.where(predicate(box_of("q_"), box_of("t_")))
 
 
+def _in_parts(pairs: DataFrame, part_size: int) -> DataFrame:
+    """Number the parts of queries with more than ``part_size`` pairs by target id."""
+    zero = F.lit(0).cast("long")
+    large = checkpointed(
+        pairs.groupBy("qid").count().where(F.col("count") > part_size)
+        .select("qid", F.ceil(F.col("count") / part_size).alias("parts"))
+    )
+    found = large.count()
+    if found == 0:
+        return pairs.withColumn("part", zero)
+    if found <= grid._BROADCAST_ROWS:
+        large = F.broadcast(large)
+    part = F.when(F.col("parts").isNull(), zero).otherwise(F.pmod(F.xxhash64("tid"), F.col("parts")))
+    return pairs.join(large, "qid", "left").select("qid", "tid", part.alias("part"))
+
+
 def spatial_join(
     targets: DataFrame,
     queries: DataFrame,
@@ -95,19 +114,22 @@ def spatial_join(
     target_columns: Sequence[str] | None = None,
     query_columns: Sequence[str] | None = None,
     predicate: Callable[[Box, Box], Column] = P.intersects,
+    part_size: int = _PART,
 ) -> DataFrame:
     """For each query box the targets it meets (closed sets).
 
     output  ``pairs`` (qid, tid) -- the scalable form, one row per match
             ``lists`` (qid, tids ascending), one row per query id by definition
+            ``parts`` (qid, part, tids ascending), lists of about ``part_size`` ids at
+            most, for queries that may hold a large share of the targets
     how     ``left`` keeps queries without a match (null tid / empty list)
     strategy ``broadcast`` sends the query cells everywhere and never moves the
             targets; ``shuffle`` co-partitions both by cell and salts hot cells;
             ``auto`` measures the queries and decides by their number of cells.
     ``predicate(query, target)`` may be narrower than the default.
     """
-    if how not in ("inner", "left") or output not in ("pairs", "lists"):
-        raise ValueError("how is 'inner' or 'left', output is 'pairs' or 'lists'")
+    if how not in ("inner", "left") or output not in ("pairs", "lists", "parts"):
+        raise ValueError("how is 'inner' or 'left', output is 'pairs', 'lists' or 'parts'")
     t, points = as_boxes(targets, target_columns, [(target_id, "tid")])
     q, _ = as_boxes(queries, query_columns, [(query_id, "qid")])
     extents = grid.measure(q)
@@ -122,11 +144,16 @@ def spatial_join(
             return pairs
         missed = everyone.distinct().join(pairs.select("qid").distinct(), "qid", "left_anti")
         return pairs.unionByName(missed, allowMissingColumns=True)
-    lists = pairs.groupBy("qid").agg(F.array_sort(F.collect_list("tid")).alias("tids"))
+    keys = ["qid"]
+    if output == "parts":
+        pairs, keys = _in_parts(pairs, part_size), ["qid", "part"]
+    lists = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list("tid")).alias("tids"))
     if how == "left":
         empty = F.array().cast(lists.schema["tids"].dataType)
         lists = (
             everyone.distinct().join(lists, "qid", "left")
             .withColumn("tids", F.coalesce("tids", empty))
         )
+        if output == "parts":
+            lists = lists.withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
     return lists

@@ -44,6 +44,18 @@ def test_join_lines_are_ordered_by_number(rects, points):
     assert [r.value for r in lines] == ["2,9,10", "10,9,10"]
 
 
+def test_long_lists_come_in_parts(rects, points):
+    q = rects([(1, 0, 0, 9, 9), (2, 3, 3, 4, 4), (3, 50, 50, 51, 51)])
+    t = points([(i, i / 10, i / 10) for i in range(60)])
+    got = rows(qd.spatial_join(t, q, output="parts", part_size=15))
+    assert all(ids == sorted(ids) for _, _, ids in got)
+    assert sorted(i for qid, _, ids in got if qid == 1 for i in ids) == list(range(60))
+    assert sum(qid == 1 for qid, _, _ in got) > 1
+    assert [(part, len(ids)) for qid, part, ids in got if qid == 2] == [(0, 11)]
+    left = qd.spatial_join(t, q, how="left", output="parts").select("qid", "part", "tids")
+    assert [(part, ids) for qid, part, ids in rows(left) if qid == 3] == [(0, [])]
+
+
 def test_degenerate_queries_and_targets_are_closed(rects, points):
     q = rects([(1, 1, 0, 1, 5), (2, 3, 3, 3, 3)])
     t = points([(1, 1, 2), (2, 3, 3), (3, 1.5, 2)])
