@@ -12,7 +12,7 @@ from quadrille.session import session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+        "tests", "local[8]", spark__sql__shuffle__partitions="3", spark__ui__enabled="false",
         spark__driver__memory="4g", spark__sql__autoBroadcastJoinThreshold="1m",
     )
     s.sparkContext.setLogLevel("ERROR")
