@@ -22,6 +22,14 @@ import quadrille as qd  # noqa: E402
 from quadrille.functions import predicates as P  # noqa: E402
 from quadrille.plans.materialize import ensure_checkpoint_dir  # noqa: E402
 
+try:  # the subpackage for corpora, and the pipeline on it, may be absent
+    import corpus_pipeline
+    from quadrille.llm import queries as corpora
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "quadrille.llm", "quadrille.llm.queries"):
+        raise
+    corpora = None
+
 WINDOW = (400.0, 12000000.0, 100.0, 5000000.0)
 _DAY0 = "1995-01-01"
 
@@ -233,7 +241,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_range": _stream_range,
         "stream_join": _stream_join,
         "stream_count": _stream_count,
-    }
+    } | (corpora.queries() | {"pipeline": corpus_pipeline.run} if corpora else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -390,4 +398,4 @@ def oracle_sql() -> dict[str, str]:
         "stream_range": in_window,
         "stream_join": join_points,
         "stream_count": count_points,
-    }
+    } | (corpora.oracle_sql() if corpora else {})
