@@ -4,19 +4,23 @@ Texts and templates become hashes of five-word shingles.  A text falls into wind
 ``WINDOW`` shingles that begin every ``STEP``; a template into pieces short enough to lie
 whole in some window.  Each of the ``BANDS`` bands is the minimum of one hash function
 over the shingles.  A piece of t shingles collides with its window in a band with
-probability t / WINDOW at least, so it is missed with (1 - t / WINDOW) ** BANDS at most in
-that window: under 2 % for one shingle, which also lies in two windows, and under 1e-7 for
-four.  Colliding windows are compared with the template exactly.
+probability t / WINDOW at least, so a window misses it with (1 - t / WINDOW) ** BANDS at
+most: 1 % for one shingle, which lies in two windows, so about 0.01 % together, and under
+1e-9 for three.  Windows whose bands hold a key of some template go on, and those that
+collide are compared with the template exactly.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.plans.materialize import checkpointed
 
-SHINGLE, WINDOW, STEP, BANDS = 5, 8, 4, 32
+SHINGLE, WINDOW, STEP, BANDS = 5, 4, 2, 16
 
 #: Wording of published licence notices.
 TEMPLATES = (
@@ -32,21 +36,19 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def _words(text: Column) -> Column:
-    """Runs of a-z and 0-9 after lower-casing A-Z."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit("[a-z0-9]+"), F.lit(0))
+    """What lies between runs of other characters than a-z and 0-9, after lower-casing; empty at an end of some texts."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+")
 
 
 def _shingled(rows: DataFrame) -> DataFrame:
-    """``words`` replaced by ``hashes``, one for each five-word shingle; rows with fewer words go."""
+    """``words`` replaced by ``hashes``, one for each five-word shingle; null with fewer words."""
     last = F.size("words") - SHINGLE
     hashes = F.transform(
         F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(F.col("words"), i + k) for k in range(SHINGLE)))
     )
-    return rows.where(F.size("words") >= SHINGLE).withColumn("hashes", hashes).drop("words")
+    return rows.withColumn("hashes", F.when(last >= 0, hashes)).drop("words")
 
 
 def _parts(hashes: str, length: int, step: int) -> Column:
@@ -56,12 +58,14 @@ def _parts(hashes: str, length: int, step: int) -> Column:
     return F.transform(starts, lambda s: F.slice(F.col(hashes), F.least(s, F.greatest(n - length + 1, F.lit(1))), length))
 
 
-def _bands(part: str, length: int) -> Column:
-    """The minimum of every hash function; a missing place repeats the first shingle."""
-    places = [F.coalesce(F.get(F.col(part), F.lit(j)), F.get(F.col(part), F.lit(0))) for j in range(length)]
-    bands = F.array(*(F.least(*(F.xxhash64(F.lit(b), p) for p in places)) for b in range(BANDS)))
-    # the lambda keeps this projection out of whole-stage code, whose one method would be too long to compile
-    return F.when(F.exists(F.slice(F.col(part), 1, 1), lambda x: x.isNotNull()), bands)
+def _banded(parts: DataFrame, length: int) -> DataFrame:
+    """Columns ``k0, k1, ...``, the minimum of every hash function; a missing place repeats the first shingle."""
+    places = [F.coalesce(F.get("part", F.lit(j)), F.get("part", F.lit(0))).alias(f"p{j}") for j in range(length)]
+    keys = [F.least(*(F.xxhash64(F.lit(b), F.col(f"p{j}")) for j in range(length))).alias(f"k{b}") for b in range(BANDS)]
+    return parts.select("*", *places).select(*parts.columns, *keys)
+
+
+_KEYS = [f"k{b}" for b in range(BANDS)]
 
 
 def templates_frame(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
@@ -84,12 +88,15 @@ def scan(
     known = checkpointed(templates_frame(docs.sparkSession, templates))
     fits = WINDOW - STEP + 1
     pieces = known.select("template", F.explode(_parts("hashes", fits, fits)).alias("part"))
-    keys = pieces.select("template", F.explode(_bands("part", fits)).alias("key")).distinct()
+    keys = checkpointed(_banded(pieces, fits).select("template", F.array(*_KEYS).alias("keys")))
+    # the templates are a parameter: BANDS keys for each three shingles of their text
+    wanted = [sorted({r["keys"][b] for r in keys.collect()}) for b in range(BANDS)]
     texts = docs.select(F.col(id_col).alias("id"), _words(F.col(text_col)).alias("words"))
     windows = _shingled(texts).select("id", F.explode(_parts("hashes", WINDOW, STEP)).alias("part"))
-    banded = windows.select("id", "part", _bands("part", WINDOW).alias("keys"))
-    # the templates are a parameter: their keys are BANDS for each five shingles of their text
-    hits = banded.select("id", "part", F.explode("keys").alias("key")).join(F.broadcast(keys), "key")
+    alike = _banded(windows, WINDOW).where(reduce(or_, (F.col(k).isin(w) for k, w in zip(_KEYS, wanted, strict=True))))
+    hits = alike.select("id", "part", F.explode(F.array(*_KEYS)).alias("key")).join(
+        F.broadcast(keys.select("template", F.explode("keys").alias("key")).distinct()), "key"
+    )
     full = known.select("template", "license", F.array_distinct("hashes").alias("all"))
     found = hits.join(F.broadcast(full), "template").select(
         "id", "license", "template", F.size("all").alias("n"), F.explode(F.array_intersect("part", "all")).alias("shingle")

@@ -124,8 +124,7 @@ def _license_sql() -> str:
         rows += {f"({i}, '{name}', ' {' '.join(w[k : k + SHINGLE])} ')" for k in range(len(w) - SHINGLE + 1)}
     return f"""WITH t(template, license, shingle) AS (VALUES {", ".join(sorted(rows))}),
 n AS (SELECT template, count(*) AS n FROM t GROUP BY template),
-d AS (SELECT doc_id, ' ' || regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-  'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g') || ' ' AS w FROM documents)
+d AS (SELECT doc_id, ' ' || regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g') || ' ' AS w FROM documents)
 SELECT doc_id, license, template, count(*) AS n_found, count(*) / any_value(n) AS containment
 FROM d JOIN t ON contains(w, shingle) JOIN n USING (template)
 GROUP BY doc_id, license, template HAVING 100 * count(*) >= 75 * any_value(n)"""
