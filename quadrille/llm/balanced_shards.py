@@ -28,7 +28,7 @@ def _start(shards: int) -> Column:
 def propagate(
     ids: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK
 ) -> DataFrame:
-    """``id, shard, linked`` for every row of ``ids(id)``; ``links(a, b)`` are undirected.
+    """``ids(id, ...)`` with ``shard`` and ``linked``; ``links(a, b)`` are undirected.
 
     Unlinked rows can go anywhere, so only linked rows use capacity here: moves fill no
     shard beyond ``1 - slack`` of an even share of all rows.
@@ -70,7 +70,7 @@ def propagate(
             label.join(moved.select("id", "to"), "id", "left").select("id", F.coalesce("to", "shard").alias("shard"))
         )
     return ids.join(label.withColumn("linked", F.lit(True)), "id", "left").select(
-        "id", F.coalesce("shard", _start(shards)).alias("shard"), F.coalesce("linked", F.lit(False)).alias("linked")
+        *ids.columns, F.coalesce("shard", _start(shards)).alias("shard"), F.coalesce("linked", F.lit(False)).alias("linked")
     )
 
 
@@ -89,7 +89,7 @@ def _numbered(rows: DataFrame, group: list[str], order: list[str], name: str) ->
 
 
 def even(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``placed(id, shard, linked)`` with counts at most one apart; unlinked rows move first."""
+    """``placed(id, shard, linked, ...)`` with counts at most one apart; unlinked rows move first."""
     load = {r[0]: r[1] for r in placed.groupBy("shard").count().collect()}
     total = sum(load.values())
     full = sorted(range(shards), key=lambda s: (-load.get(s, 0), s))[: total % shards]
@@ -110,7 +110,7 @@ def even(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
             at -= extra[s]
             choices.append((number < at, s))
     to = reduce(lambda rest, c: F.when(c[0], F.lit(c[1])).otherwise(rest), reversed(choices), F.lit(None).cast("int"))
-    return ranked.select("id", F.when(moves, to).otherwise(F.col("shard")).cast("int").alias("shard"), "linked")
+    return ranked.withColumn("shard", F.when(moves, to).otherwise(F.col("shard")).cast("int")).drop("_rank")
 
 
 def shard_documents(
@@ -122,7 +122,8 @@ def shard_documents(
     The law is ``rows``: counts of any two shards differ by one at most.  A group of equal
     texts stays together as far as that allows; one too large for a shard is linked in
     parts, which stay together.  A null text counts as empty for links and the checksum,
-    ``size`` is 1 then.  Ids must be unique and not null; other columns are ignored.
+    ``size`` is 1 then.  Rows with the same or a null id are separate rows; other columns
+    are ignored.  Empty input: no rows.
     """
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = checkpointed(
@@ -143,9 +144,9 @@ def shard_documents(
     links = member.join(hubs, ["digest", "part"]).select(F.col("id").alias("a"), F.col("hub").alias("b")).unionByName(
         hubs.join(heads, "digest").select(F.col("hub").alias("a"), F.col("head").alias("b"))
     )
-    placed = checkpointed(even(checkpointed(propagate(base.select("id"), links, shards, rounds, slack)), shards))
-    slots = _numbered(placed.select("id", "shard"), ["shard"], [], "slot")
-    return base.join(slots, "id").select(
+    rows = base.select("id", "size", "text_crc32")
+    placed = checkpointed(even(checkpointed(propagate(rows, links, shards, rounds, slack)), shards))
+    return _numbered(placed, ["shard"], [], "slot").select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

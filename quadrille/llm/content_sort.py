@@ -20,7 +20,7 @@ from quadrille.llm.frames import partitions
 from quadrille.plans.materialize import checkpointed
 
 _HEAD = 32
-_SCHEMA = "id long, digest binary, keep long, n long, edge boolean"
+_SCHEMA = "id long, digest binary, keep long, n long, lead boolean, edge boolean"
 
 
 def _plain(text: Column) -> Column:
@@ -35,13 +35,13 @@ def _runs(keep_largest: bool):
         last, digest, ids, first = None, None, [], True
 
         def closed(edge: bool) -> pa.RecordBatch:
-            n, keep = len(ids), best(ids)
+            n, keep = len(ids), best((i for i in ids if i is not None), default=None)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()), pa.array([digest] * n, pa.binary()), pa.array([keep] * n, pa.int64()),
-                    pa.array([n] * n, pa.int64()), pa.array([edge] * n),
+                    pa.array([n] * n, pa.int64()), pa.array([k == 0 for k in range(n)]), pa.array([edge] * n),
                 ],
-                ["id", "digest", "keep", "n", "edge"],
+                ["id", "digest", "keep", "n", "lead", "edge"],
             )
 
         done: list[pa.RecordBatch] = []
@@ -77,8 +77,9 @@ def exact_duplicates(
 
     ``normalise`` maps the text column; texts are equal when their normalised bytes are.
     ``keep`` is ``smallest`` or ``largest``: which id of equal texts stays.  A null text
-    counts as empty, and the empty text has copies like any other.  Ids must be unique
-    and not null.  Other columns are ignored.  Empty input: no rows.
+    counts as empty, and the empty text has copies like any other.  Rows with the same id
+    are separate copies; a null id is never the one that stays.  Other columns are
+    ignored.  Empty input: no rows.
     """
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is 'smallest' or 'largest'")
@@ -91,9 +92,9 @@ def exact_duplicates(
     ordered = source.repartitionByRange(partitions(docs.sparkSession), *key).sortWithinPartitions(*key)
     runs = checkpointed(ordered.select("id", "digest", "body").mapInArrow(_runs(keep == "largest"), _SCHEMA))
     best = F.max if keep == "largest" else F.min
-    # a run is counted where its kept row is
+    # a run is counted at its first row
     open_runs = runs.where("edge").groupBy("digest").agg(
-        F.sum(F.when(F.col("id") == F.col("keep"), F.col("n")).otherwise(0)).alias("total"), best("keep").alias("whole")
+        F.sum(F.when(F.col("lead"), F.col("n")).otherwise(0)).alias("total"), best("keep").alias("whole")
     )
     keep_id = F.coalesce("whole", "keep")
     return runs.join(open_runs, "digest", "left").select(

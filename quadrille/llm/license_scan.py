@@ -38,8 +38,8 @@ TEMPLATES = (
 
 
 def _words(text: Column) -> Column:
-    """What lies between runs of other characters than a-z and 0-9, after lower-casing; empty at an end of some texts."""
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+")
+    """Runs of a-z and 0-9 after lower-casing."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), "")
 
 
 def _shingled(rows: DataFrame) -> DataFrame:

@@ -148,8 +148,8 @@ def near_vectors(
 
     Vectors of equal, non-null label and equal length are linked when their cosine, in
     double precision, is ``cosine`` (over 0) or more.  Null, empty or zero vectors and those with a
-    null or non-finite component are linked with nothing.  Ids must be unique and not
-    null; other columns are ignored.  Empty input: no rows.
+    null or non-finite component are linked with nothing.  Rows with the same id and
+    vector are copies of each other; other columns are ignored.  Empty input: no rows.
     """
     source = rows.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
@@ -160,7 +160,11 @@ def near_vectors(
         F.col("label").isNotNull() & F.col("vector").isNotNull() & finite & F.exists("vector", lambda v: v != 0)
     )
     # a vector with huge or tiny components keeps its direction in double precision
-    good = source.where(usable).select("id", "label", F.col("vector").cast("array<double>").alias("vector"))
+    source = source.select(
+        "id", F.when(usable, F.col("label")).alias("label"),
+        F.when(usable, F.col("vector").cast("array<double>")).alias("vector"),
+    )
+    good = source.where("label is not null and vector is not null and id is not null")
     classes = checkpointed(
         good.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("many"))
     )
@@ -198,10 +202,8 @@ def near_vectors(
             F.coalesce("component_id", "rep").alias("component_id"),
         )
     )
-    # rows that take no part have no class
-    named = good.join(of_class, ["label", "vector"]).select("id", "n_links", "component_id")
     component = F.coalesce("component_id", "id")
-    return source.select("id").join(named, "id", "left").select(
+    return source.join(of_class, ["label", "vector"], "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"), (component == F.col("id")).alias("kept"),
     )
