@@ -95,7 +95,9 @@ def antipodal_pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if n < 4:
         i, j = np.triu_indices(n, 1)
         return i, j
-    angle = np.unwrap(np.arctan2(np.roll(y, -1) - y, np.roll(x, -1) - x))
+    # parallel lines stay parallel when an axis is scaled, and a flat ring keeps its angles apart
+    width, height = max(np.ptp(x), np.finfo(float).tiny), max(np.ptp(y), np.finfo(float).tiny)
+    angle = np.unwrap(np.arctan2((np.roll(y, -1) - y) / height, (np.roll(x, -1) - x) / width))
     angle = np.maximum.accumulate(angle)
     wrapped = np.concatenate([angle, angle + 2 * np.pi])
     before = np.roll(angle, 1)

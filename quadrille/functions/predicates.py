@@ -89,16 +89,29 @@ def holds(a: Box, b: Box) -> Column:
     return contains(a, b) | touches(a, b)
 
 
-_SQL_ARGS = ", ".join(f"{s}{c} DOUBLE" for s in ("a_", "b_") for c in Box._fields)
-_SQL_MEET = "a_xmin < b_xmax AND b_xmin < a_xmax AND a_ymin < b_ymax AND b_ymin < a_ymax"
+_SQL_ARGS = ", ".join(f"{s}{c} DOUBLE" for s in ("a_", "b_") for c in ("x1", "y1", "x2", "y2"))
+# any two opposite corners make a box, as everywhere
+_SQL_MEET = (
+    "least(a_x1, a_x2) < greatest(b_x1, b_x2) AND least(b_x1, b_x2) < greatest(a_x1, a_x2)"
+    " AND least(a_y1, a_y2) < greatest(b_y1, b_y2) AND least(b_y1, b_y2) < greatest(a_y1, a_y2)"
+)
 _SQL_CLOSED = _SQL_MEET.replace("<", "<=")
-_SQL_INSIDE = "a_xmin <= b_xmin AND b_xmax <= a_xmax AND a_ymin <= b_ymin AND b_ymax <= a_ymax"
+
+
+def _sql_inside(a: str, b: str) -> str:
+    return " AND ".join(
+        f"least({a}_{c}1, {a}_{c}2) <= least({b}_{c}1, {b}_{c}2) AND greatest({b}_{c}1, {b}_{c}2) <= greatest({a}_{c}1, {a}_{c}2)"
+        for c in "xy"
+    )
+
+
 _SQL_FUNCTIONS = {
     "box_intersects": _SQL_CLOSED,
-    "box_contains": f"{_SQL_INSIDE} AND {_SQL_MEET}",
-    "box_equals": "a_xmin = b_xmin AND a_ymin = b_ymin AND a_xmax = b_xmax AND a_ymax = b_ymax",
+    "box_contains": f"{_sql_inside('a', 'b')} AND {_SQL_MEET}",
+    "box_within": f"{_sql_inside('b', 'a')} AND {_SQL_MEET}",
+    "box_equals": f"{_sql_inside('a', 'b')} AND {_sql_inside('b', 'a')}",
     "box_touches": f"{_SQL_CLOSED} AND NOT ({_SQL_MEET})",
-    "box_holds": f"({_SQL_INSIDE} AND {_SQL_MEET}) OR ({_SQL_CLOSED} AND NOT ({_SQL_MEET}))",
+    "box_holds": f"({_sql_inside('a', 'b')} AND {_SQL_MEET}) OR ({_SQL_CLOSED} AND NOT ({_SQL_MEET}))",
 }
 
 
@@ -109,8 +122,8 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({_SQL_ARGS}) RETURNS BOOLEAN RETURN {body}"
         )
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION point_in_box(x DOUBLE, y DOUBLE, xmin DOUBLE,"
-        " ymin DOUBLE, xmax DOUBLE, ymax DOUBLE) RETURNS BOOLEAN"
-        " RETURN x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax"
+        "CREATE OR REPLACE TEMPORARY FUNCTION point_in_box(x DOUBLE, y DOUBLE, x1 DOUBLE,"
+        " y1 DOUBLE, x2 DOUBLE, y2 DOUBLE) RETURNS BOOLEAN RETURN x BETWEEN least(x1, x2)"
+        " AND greatest(x1, x2) AND y BETWEEN least(y1, y2) AND greatest(y1, y2)"
     )
     return [*_SQL_FUNCTIONS, "point_in_box"]

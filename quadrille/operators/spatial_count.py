@@ -72,7 +72,10 @@ def spatial_count(
     if strategy == "auto" and points and not t.isStreaming and ext.area > _OVERLAP * area > 0:
         strategy = "cells"
     if ext.rows == 0:
-        hits = q.select("qid", F.lit(1).cast("long").alias("n"))
+        # of the targets, so that a stream stays one
+        hits = t.where(F.lit(False)).select(
+            F.lit(None).cast(q.schema["qid"].dataType).alias("qid"), F.lit(1).cast("long").alias("n")
+        )
     elif strategy == "cells":
         hits = _count_by_cells(t.withColumn("n", F.lit(1).cast("long")), q, ext)
     else:
@@ -80,8 +83,8 @@ def spatial_count(
         hits = pairs.select(F.col("q_qid").alias("qid"), F.col("t_n").alias("n"))
     counts = hits.groupBy("qid").agg(F.sum("n").alias("n"))
     if how == "left":
-        everyone = queries.select(F.col(query_id).alias("qid")).distinct()
-        counts = everyone.join(counts, "qid", "left").withColumn(
-            "n", F.coalesce("n", F.lit(0).cast("long"))
+        everyone = queries.select(F.col(query_id).alias("asked")).distinct()
+        counts = everyone.join(counts, F.col("asked").eqNullSafe(F.col("qid")), "left").select(
+            F.col("asked").alias("qid"), F.coalesce("n", F.lit(0).cast("long")).alias("n")
         )
     return counts

@@ -134,7 +134,7 @@ def spatial_join(
     q, _ = as_boxes(queries, query_columns, [(query_id, "qid")])
     extents = grid.measure(q)
     if extents.rows == 0:
-        pairs = q.select("qid").join(t.select("tid").limit(0), F.lit(True))
+        pairs = t.where(F.lit(False)).select(F.lit(None).cast(q.schema["qid"].dataType).alias("qid"), "tid")
     else:
         hits = matched(t, q, points, predicate, strategy, extents)
         pairs = hits.select(F.col("q_qid").alias("qid"), F.col("t_tid").alias("tid"))
@@ -142,17 +142,20 @@ def spatial_join(
     if output == "pairs":
         if how == "inner":
             return pairs
-        missed = everyone.distinct().join(pairs.select("qid").distinct(), "qid", "left_anti")
-        return pairs.unionByName(missed, allowMissingColumns=True)
+        asked = everyone.distinct().withColumnRenamed("qid", "asked")
+        return asked.join(pairs, F.col("asked").eqNullSafe(F.col("qid")), "left").select(
+            F.col("asked").alias("qid"), "tid"
+        )
     keys = ["qid"]
     if output == "parts":
         pairs, keys = _in_parts(pairs, part_size), ["qid", "part"]
     lists = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list("tid")).alias("tids"))
     if how == "left":
         empty = F.array().cast(lists.schema["tids"].dataType)
+        asked = everyone.distinct().withColumnRenamed("qid", "asked")
         lists = (
-            everyone.distinct().join(lists, "qid", "left")
-            .withColumn("tids", F.coalesce("tids", empty))
+            asked.join(lists, F.col("asked").eqNullSafe(F.col("qid")), "left").drop("qid")
+            .withColumnRenamed("asked", "qid").withColumn("tids", F.coalesce("tids", empty))
         )
         if output == "parts":
             lists = lists.withColumn("part", F.coalesce("part", F.lit(0).cast("long")))

@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 from ..functions.predicates import box_of
 from .materialize import checkpointed
 
-# Bits per cell index inside the packed join key: level | cx | cy.
-_CELL_BITS = 26
+# Bits per cell index inside the packed join key: level | cx | cy.  Windows with more cells
+# on an axis have a key of three columns; a double tells that many cells apart.
+_PACKED_BITS = 26
+_CELL_BITS = 52
 _MAX_LEVELS = 12
 _BROADCAST_ROWS = 500_000
 _HOT_TARGETS = 1_000_000
 _HOT_QUERIES = 10_000
+_HOT_PAIRS = 1e9
 # Real boxes crowd together; pairs weigh more than an even spread suggests.
 _CROWDING = 4.0
 
@@ -110,20 +113,32 @@ class Layout:
     target_levels: list[tuple[int, int]] | None
     levels: list[tuple[int, int]]
     query_cells: int
-
-    def own_level(self, axis: int, length: Column) -> Column:
-        base = F.lit(self.base[axis])
-        above = F.floor((_magnitude(length) - self.finer - base) / self.step) * self.step
-        return F.coalesce(F.greatest(base, base + above.cast("int")), base)
-
-
-def _quantise(e: int | None, base: int, step: int, finer: int) -> int:
-    if e is None:
-        return base
-    return max(base, base + (e - finer - base) // step * step)
-
-
-def _work(queries: Extents, targets: Extents, base: tuple[int, int], step: int, finer: int) -> float:
+    square: bool = False
+    packed: bool = True
+
+    def own_levels(self, width: Column, height: Column) -> tuple[Column, Column]:
+        above = []
+        for base, length in zip(self.base, (width, height), strict=True):
+            steps = F.floor((_magnitude(length) - self.finer - F.lit(base)) / self.step) * self.step
+            above.append(F.coalesce(F.greatest(F.lit(0), steps.cast("int")), F.lit(0)))
+        if self.square:
+            above = [F.greatest(*above)] * 2
+        return F.lit(self.base[0]) + above[0], F.lit(self.base[1]) + above[1]
+
+
+def _level(
+    ex: int | None, ey: int | None, base: tuple[int, int], step: int, finer: int, square: bool
+) -> tuple[int, int]:
+    """Level of boxes of one magnitude; ``square``: the larger side alone decides."""
+    above = [0 if e is None else max(0, (e - finer - b) // step * step) for e, b in zip((ex, ey), base, strict=True)]
+    if square:
+        above = [max(above)] * 2
+    return base[0] + above[0], base[1] + above[1]
+
+
+def _work(
+    queries: Extents, targets: Extents, base: tuple[int, int], step: int, finer: int, square: bool
+) -> float:
     """Rows placed in cells and pairs compared, for boxes spread evenly.
 
     Only ranks layouts; the result of the join does not depend on it.
@@ -133,7 +148,7 @@ def _work(queries: Extents, targets: Extents, base: tuple[int, int], step: int,
     def sized(ext: Extents) -> list[tuple[float, float, int, tuple[int, int]]]:
         return [
             (0.0 if ex is None else 2.0**ex, 0.0 if ey is None else 2.0**ey, n,
-             (_quantise(ex, base[0], step, finer), _quantise(ey, base[1], step, finer)))
+             _level(ex, ey, base, step, finer, square))
             for ex, ey, n in ext.sizes
         ]
 
@@ -164,13 +179,17 @@ def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> La
     span_x, span_y = queries.xmax - queries.xmin, queries.ymax - queries.ymin
 
     def lowest(span: float) -> int:
+        if math.isinf(span):
+            raise ValueError("the coordinates of the queries are further apart than a double can tell")
         return math.ceil(math.log2(span)) - (_CELL_BITS - 1) if span > 0 else -1000
 
-    def levels_of(ext: Extents, base: tuple[int, int], step: int) -> set[tuple[int, int]]:
-        return {
-            (_quantise(ex, base[0], step, finer), _quantise(ey, base[1], step, finer))
-            for ex, ey, _ in ext.sizes
-        }
+    def levels_of(ext: Extents, base: tuple[int, int], step: int, square: bool) -> set[tuple[int, int]]:
+        return {_level(ex, ey, base, step, finer, square) for ex, ey, _ in ext.sizes}
+
+    def met(base: tuple[int, int], step: int, square: bool) -> tuple[set, set | None, set]:
+        own = levels_of(queries, base, step, square)
+        other = levels_of(targets, base, step, square) if targets else None
+        return own, other, {(max(qx, tx), max(qy, ty)) for qx, qy in own for tx, ty in (other or {base})}
 
     def base_for(share: float) -> tuple[int, int]:
         spans = (span_x, span_y)
@@ -190,22 +209,20 @@ def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> La
     ranked = targets or Extents(sizes=[(None, None, 1000 * queries.rows)])
     best = None
     for share, step in tries:
-        base = base_for(share)
-        q_levels = levels_of(queries, base, step)
-        t_levels = levels_of(targets, base, step) if targets else None
-        both = {
-            (max(qx, tx), max(qy, ty)) for qx, qy in q_levels for tx, ty in (t_levels or {base})
-        }
-        if len(both) > _MAX_LEVELS and share < 1.0:
-            continue
-        work = _work(queries, ranked, base, step, finer)
+        base, square = base_for(share), False
+        q_levels, t_levels, both = met(base, step, square)
+        if len(both) > _MAX_LEVELS:
+            # width and height vary on their own: one level for each magnitude of the larger side
+            square = True
+            q_levels, t_levels, both = met(base, step, square)
+        work = _work(queries, ranked, base, step, finer, square)
         if best is None or work < best[0]:
-            best = (work, base, step, q_levels, t_levels, both)
-    _, base, step, q_levels, t_levels, both = best
+            best = (work, base, step, square, q_levels, t_levels, both)
+    _, base, step, square, q_levels, t_levels, both = best
 
     cells = 0
     for ex, ey, n in queries.sizes:
-        own = (_quantise(ex, base[0], step, finer), _quantise(ey, base[1], step, finer))
+        own = _level(ex, ey, base, step, finer, square)
         for tx, ty in t_levels or {base}:
             lx, ly = max(own[0], tx), max(own[1], ty)
             per_x = 1 if ex is None else 2.0 ** min(60, max(0, ex - lx)) + 1
@@ -220,6 +237,8 @@ def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> La
         target_levels=sorted(t_levels) if t_levels else None,
         levels=sorted(both),
         query_cells=cells,
+        square=square,
+        packed=all(span < 2.0 ** (e + _PACKED_BITS - 1) for span, e in zip((span_x, span_y), base, strict=True)),
     )
 
 
@@ -277,11 +296,8 @@ def _with_levels(
             F.array(*(_level_struct(layout, lv) for lv in met)),
         ]
     b = box_of()
-    df = df.select(
-        "*",
-        layout.own_level(0, b.xmax - b.xmin).alias("own_x"),
-        layout.own_level(1, b.ymax - b.ymin).alias("own_y"),
-    )
+    own_x, own_y = layout.own_levels(b.xmax - b.xmin, b.ymax - b.ymin)
+    df = df.select("*", own_x.alias("own_x"), own_y.alias("own_y"))
     levels = F.element_at(F.create_map(*entries), F.struct("own_x", "own_y"))
     return df.select("*", F.explode(levels).alias("lev")), lev
 
@@ -290,8 +306,10 @@ def _cell(value: Column, origin: float, exponent: Column) -> Column:
     return F.floor((value - F.lit(origin)) * F.pow(F.lit(2.0), -exponent.cast("double")))
 
 
-def _pack(lev: _Lev, cx: Column, cy: Column) -> Column:
-    side = F.lit(1 << _CELL_BITS)
+def _pack(layout: Layout, lev: _Lev, cx: Column, cy: Column) -> Column:
+    if not layout.packed:
+        return F.struct(lev.lid.alias("lid"), cx.alias("cx"), cy.alias("cy"))
+    side = F.lit(1 << _PACKED_BITS)
     return (lev.lid * side + cx) * side + cy
 
 
@@ -338,13 +356,13 @@ def target_cells(targets: DataFrame, layout: Layout, points: bool) -> tuple[Data
 
 def _point_key(layout: Layout, lev: _Lev) -> Column:
     b, (x0, y0, _, _) = box_of(), layout.window
-    return _pack(lev, _cell(b.xmin, x0, lev.ex), _cell(b.ymin, y0, lev.ey))
+    return _pack(layout, lev, _cell(b.xmin, x0, lev.ex), _cell(b.ymin, y0, lev.ey))
 
 
 def whole_cells(queries: DataFrame, layout: Layout, inside: Column) -> DataFrame:
     """(key, qid) of the cells that satisfy ``inside``."""
     df, lev = query_cells(queries, layout)
-    return df.where(inside).select(_pack(lev, F.col("cx"), F.col("cy")).alias("key"), "qid")
+    return df.where(inside).select(_pack(layout, lev, F.col("cx"), F.col("cy")).alias("key"), "qid")
 
 
 def cell_counts(points: DataFrame, layout: Layout) -> DataFrame:
@@ -361,7 +379,7 @@ def cell_counts(points: DataFrame, layout: Layout) -> DataFrame:
     def coarse(fine_cell: str, level: Column, axis: int) -> Column:
         return F.floor(F.col(fine_cell) * F.pow(F.lit(2.0), (base[axis] - level).cast("double")))
 
-    key = _pack(lev, coarse("fx", lev.ex, 0), coarse("fy", lev.ey, 1))
+    key = _pack(layout, lev, coarse("fx", lev.ex, 0), coarse("fy", lev.ey, 1))
     return df.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
 
 
@@ -369,17 +387,20 @@ def _salted(t: DataFrame, q: DataFrame) -> tuple[DataFrame, DataFrame, list[str]
     """Split hot cells into salt_t x salt_q parts; every pair meets in one part.
 
     Only cells above the limits are salted.  Their list holds at most
-    ``target rows / _HOT_TARGETS + query rows / _HOT_QUERIES`` cells; it is
-    computed once and broadcast only when it is small.
+    ``target rows / _HOT_TARGETS + query rows / _HOT_QUERIES`` cells, and those
+    whose comparisons exceed ``_HOT_PAIRS``; it is computed once and broadcast only when it is small.
     """
     hot = checkpointed(
         t.groupBy("key")
         .agg(F.count(F.lit(1)).alias("nt"))
         .join(q.groupBy("key").agg(F.count(F.lit(1)).alias("nq")), "key")
-        .where((F.col("nt") > _HOT_TARGETS) | (F.col("nq") > _HOT_QUERIES))
+        .where((F.col("nt") * F.col("nq").cast("double") > _HOT_PAIRS) | (F.col("nt") > _HOT_TARGETS) | (F.col("nq") > _HOT_QUERIES))
         .select(
             "key",
-            F.ceil(F.col("nt") / _HOT_TARGETS).alias("parts_t"),
+            F.greatest(
+                F.ceil(F.col("nt") / _HOT_TARGETS),
+                F.ceil(F.col("nt") * F.least("nq", F.lit(_HOT_QUERIES)).cast("double") / _HOT_PAIRS),
+            ).alias("parts_t"),
             F.ceil(F.col("nq") / _HOT_QUERIES).alias("parts_q"),
         )
     )
@@ -426,8 +447,8 @@ def meet(
     if not points:
         corner, cell = ["cx0", "cy0"], ["cx", "cy"]
         level = ["own_x", "own_y"] if several else []
-    q_key = _pack(q_lev, F.col("cx"), F.col("cy"))
-    t_key = _point_key(layout, t_lev) if points else _pack(t_lev, F.col("cx"), F.col("cy"))
+    q_key = _pack(layout, q_lev, F.col("cx"), F.col("cy"))
+    t_key = _point_key(layout, t_lev) if points else _pack(layout, t_lev, F.col("cx"), F.col("cy"))
     t_more = [t_lev.ex.alias("t_ex"), t_lev.ey.alias("t_ey")] if level else []
 
     def side(df: DataFrame, key: Column, prefix: str, names: list[str], more: list[Column]) -> DataFrame:

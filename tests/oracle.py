@@ -15,7 +15,7 @@ import duckdb  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 
-TABLES = ("orders", "lineitem", "part", "supplier", "embeddings")
+TABLES = ("orders", "lineitem", "part", "supplier", "embeddings", "documents")
 
 
 def canonical(rows: list[tuple], names: list[str]) -> list[tuple]:
