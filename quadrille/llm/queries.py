@@ -93,11 +93,11 @@ NEAR_SQL = """WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
-    ELSE list_transform(range(1, len(w) - 3), i -> w[i:i+4]) END) AS g FROM d),
+    ELSE [w[i : i + 4] for i in range(1, len(w) - 3)] END) AS g FROM d),
 n AS (SELECT d.doc_id, count(g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
   GROUP BY ALL),
-l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * both >= 75 * (a.n + b.n - both)),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 75 * (a.n + b.n - shared)),
 r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
 SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, min(r.y)) AS component_id,
   least(n.doc_id, min(r.y)) = n.doc_id AS kept
@@ -105,9 +105,9 @@ FROM n LEFT JOIN r ON r.x = n.doc_id GROUP BY n.doc_id, n.n"""
 
 
 VECTOR_SQL = """WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, e -> CAST(e AS DOUBLE)) AS e FROM embeddings),
-u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-  AND len(list_filter(e, x -> x <> 0)) > 0),
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0
+  AND len([x for x in e if x <> 0]) > 0),
 l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
   AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
