@@ -93,8 +93,10 @@ def scan(
     wanted = [sorted({r["keys"][b] for r in keys.collect()}) for b in range(BANDS)]
     texts = docs.select(F.col(id_col).alias("id"), _words(F.col(text_col)).alias("words"))
     windows = _shingled(texts).select("id", F.explode(_parts("hashes", WINDOW, STEP)).alias("part"))
-    alike = _banded(windows, WINDOW).where(reduce(or_, (F.col(k).isin(w) for k, w in zip(_KEYS, wanted, strict=True))))
-    hits = alike.select("id", "part", F.explode(F.array(*_KEYS)).alias("key")).join(
+    some = reduce(or_, (F.col(k).isin(w) for k, w in zip(_KEYS, wanted, strict=True)))
+    # the test is part of the generator: as a filter it would be pushed below the bands and repeat them
+    alike = _banded(windows, WINDOW).select("id", "part", F.explode(F.when(some, F.array(*_KEYS))).alias("key"))
+    hits = alike.join(
         F.broadcast(keys.select("template", F.explode("keys").alias("key")).distinct()), "key"
     )
     full = known.select("template", "license", F.array_distinct("hashes").alias("all"))
