@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import quadrille as qd  # noqa: E402
 from quadrille.functions import predicates as P  # noqa: E402
-from quadrille.plans.materialize import ensure_checkpoint_dir  # noqa: E402
+from quadrille.plans.materialize import checkpointed, scratch_folder  # noqa: E402
 
 try:  # the subpackage for corpora, and the pipeline on it, may be absent
     import corpus_pipeline
@@ -144,19 +143,19 @@ def _streamed(spark: SparkSession, d: str, step: Callable[[DataFrame], DataFrame
     """
     schema = _table(spark, d, "orders").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(d)
-    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     result = step(as_points(stream))
+    with scratch_folder(spark, "stream") as folder:
 
-    def write(batch: DataFrame, number: int) -> None:
-        part = f"batch={number}" if mode == "append" else "batch=all"
-        batch.write.mode("overwrite").parquet(f"{folder}/out/{part}")
+        def write(batch: DataFrame, number: int) -> None:
+            part = f"batch={number}" if mode == "append" else "batch=all"
+            batch.write.mode("overwrite").parquet(f"{folder}/out/{part}")
 
-    run = (
-        result.writeStream.foreachBatch(write).outputMode(mode)
-        .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    )
-    run.awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{folder}/out").select(*result.columns)
+        run = (
+            result.writeStream.foreachBatch(write).outputMode(mode)
+            .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        )
+        run.awaitTermination()
+        return checkpointed(spark.read.schema(result.schema).parquet(f"{folder}/out").select(*result.columns))
 
 
 def _stream_range(spark: SparkSession, d: str) -> DataFrame:
@@ -180,6 +179,59 @@ def _stream_count(spark: SparkSession, d: str) -> DataFrame:
     return _streamed(spark, d, step_count, "complete")
 
 
+def _from_files(
+    spark: SparkSession, inputs: dict[str, DataFrame], step: Callable[[dict[str, str]], DataFrame],
+    back: Callable[[SparkSession, str], DataFrame],
+) -> DataFrame:
+    """Text in, text out: ``inputs`` written as lines, ``step`` on their paths, its result written and read ``back``."""
+    with scratch_folder(spark, "text") as folder:
+        paths = {name: f"{folder}/{name}" for name in inputs}
+        for name, lines in inputs.items():
+            lines.write.text(paths[name])
+        qd.write_lines(step(paths), f"{folder}/out")
+        return checkpointed(back(spark, f"{folder}/out"))
+
+
+def _value(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path)
+
+
+def _bare_points(spark: SparkSession, path: str) -> DataFrame:
+    return qd.read_points(spark, path, with_id=False)
+
+
+def _range_from_file(spark: SparkSession, d: str) -> DataFrame:
+    """The window is the lower left quarter of the points' extent; its corners are given the other way round."""
+    half = pts(spark, d).agg(
+        F.floor((F.min("x") + F.max("x")) / 2).cast("double").alias("x1"), F.min("y").alias("y1"),
+        F.min("x").alias("x2"), F.floor((F.min("y") + F.max("y")) / 2).cast("double").alias("y2"),
+    )
+    return _from_files(
+        spark, {"points": _text_of(pts(spark, d), "id", "x", "y"), "window": _text_of(half, "x1", "y1", "x2", "y2")},
+        lambda at: qd.range_query(qd.read_points(spark, at["points"]), qd.read_window(spark, at["window"])), _value,
+    )
+
+
+def _join_from_files(spark: SparkSession, d: str) -> DataFrame:
+    return _from_files(
+        spark, {"boxes": _mixed_lines(spark, d), "queries": _text_of(qr(spark, d), "id", "x1", "y1", "x2", "y2")},
+        lambda at: qd.spatial_join(qd.read_boxes(spark, at["boxes"]), qd.read_rects(spark, at["queries"])), _value,
+    )
+
+
+def _points_from_file(step: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda s, d: _from_files(
+        s, {"points": _text_of(pts(s, d), "x", "y")}, lambda at: step(_bare_points(s, at["points"])), _bare_points
+    )
+
+
+def _union_from_file(spark: SparkSession, d: str) -> DataFrame:
+    return _from_files(
+        spark, {"rects": _text_of(tr(spark, d), "x1", "y1", "x2", "y2")},
+        lambda at: qd.rect_union(qd.read_rects(spark, at["rects"], with_id=False)), _bare_points,
+    )
+
+
 def _lists_as_text(lists: DataFrame) -> DataFrame:
     return lists.select("qid", F.concat_ws(",", F.col("tids").cast("array<string>")).alias("tids"))
 
@@ -241,6 +293,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_range": _stream_range,
         "stream_join": _stream_join,
         "stream_count": _stream_count,
+        "range_from_file": _range_from_file,
+        "join_from_files": _join_from_files,
+        "hull_lines": _points_from_file(qd.convex_hull),
+        "farthest_lines": _points_from_file(qd.farthest_pair),
+        "closest_lines": _points_from_file(qd.closest_pair),
+        "union_lines": _union_from_file,
     } | (corpora.queries() | {"pipeline": corpus_pipeline.run} if corpora else {})
 
 
@@ -322,6 +380,10 @@ SELECT x, y, kind FROM o{kinds}"""
 
 
 def oracle_sql() -> dict[str, str]:
+    def ends(order: str) -> str:
+        pair = _pair_sql(_PTS, "pts", order)
+        return f"SELECT x1 AS x, y1 AS y FROM ({pair}) UNION ALL SELECT x2, y2 FROM ({pair})"
+
     join_points = f"WITH {_PTS}, {_QR} SELECT q.id AS qid, p.id AS tid FROM pts p JOIN qr q ON {_IN}"
     join_rects = f"WITH {_TR}, {_QR} SELECT q.id AS qid, t.id AS tid FROM tr t JOIN qr q ON {_MEET}"
     count_points = (
@@ -398,4 +460,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_range": in_window,
         "stream_join": join_points,
         "stream_count": count_points,
+        "range_from_file": f"WITH {_PTS}, w AS (SELECT min(x) AS x1, floor((min(x) + max(x)) / 2) AS x2,"
+        " min(y) AS y1, floor((min(y) + max(y)) / 2) AS y2 FROM pts)"
+        " SELECT CAST(id AS VARCHAR) AS value FROM pts, w WHERE x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2",
+        "join_from_files": f"WITH {_TR}, {_PTS}, {_QR},"
+        " t AS (SELECT * FROM tr UNION ALL SELECT id, x, y, x, y FROM pts)"
+        f" SELECT CAST(q.id AS VARCHAR) || ',' || CAST(t.id AS VARCHAR) AS value FROM t JOIN qr q ON {_MEET}",
+        "hull_lines": _hull_sql(_PTS, "pts"),
+        "farthest_lines": ends("DESC"),
+        "closest_lines": ends("ASC"),
+        "union_lines": f"SELECT x, y FROM ({_union_sql(_TR, 'tr', '')})",
     } | (corpora.oracle_sql() if corpora else {})

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +31,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and read it back from the checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """Folder below the checkpoint folder that is deleted at the end."""
+    folder = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
