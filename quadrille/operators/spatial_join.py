@@ -37,16 +37,19 @@ def as_boxes(
     )
 
 
+_FORCED_ROWS = 8 * grid._BROADCAST_ROWS  # more query cells than these are shuffled whatever the caller asks
+
+
 def side_to_broadcast(
     strategy: str, layout: grid.Layout, targets: DataFrame, extents: grid.Extents | None
 ) -> str | None:
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError("strategy is 'auto', 'broadcast' or 'shuffle'")
     if strategy == "shuffle":
         return None
-    if strategy == "broadcast" or layout.query_cells <= grid._BROADCAST_ROWS:
+    if layout.query_cells <= (_FORCED_ROWS if strategy == "broadcast" else grid._BROADCAST_ROWS):
         return "queries"
-    if strategy != "auto":
-        raise ValueError("strategy is 'auto', 'broadcast' or 'shuffle'")
-    if targets.isStreaming:
+    if strategy == "broadcast" or targets.isStreaming:
         return None
     limit = grid._BROADCAST_ROWS // len(layout.levels)
     rows = extents.rows * 9 if extents else targets.limit(limit + 1).count()
@@ -124,7 +127,7 @@ def spatial_join(
             most, for queries that may hold a large share of the targets
     how     ``left`` keeps queries without a match (null tid / empty list)
     strategy ``broadcast`` sends the query cells everywhere and never moves the
-            targets; ``shuffle`` co-partitions both by cell and salts hot cells;
+            targets (beyond a bound they are shuffled all the same); ``shuffle`` co-partitions both by cell and salts hot cells;
             ``auto`` measures the queries and decides by their number of cells.
     ``predicate(query, target)`` may be narrower than the default.
     """

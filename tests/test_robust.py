@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 import quadrille as qd
 from quadrille.functions.kernels import antipodal_pairs
 from quadrille.plans import grid
@@ -89,3 +90,15 @@ def test_sql_predicates_take_any_two_corners(spark):
         " box_equals(0,0,1,1, 1,1,0,0), box_touches(1,1,0,0, 2,2,1,1), box_holds(4,4,0,0, 2,2,1,1), point_in_box(1,1, 2,2,0,0)"
     ).first()
     assert all(row)
+
+
+def test_broadcast_has_a_bound():
+    from types import SimpleNamespace
+
+    from quadrille.operators import spatial_join as sj
+
+    still = SimpleNamespace(isStreaming=False)
+    for cells, side in ((sj._FORCED_ROWS, "queries"), (sj._FORCED_ROWS + 1, None)):
+        assert sj.side_to_broadcast("broadcast", SimpleNamespace(query_cells=cells), still, None) == side
+    with pytest.raises(ValueError):
+        sj.side_to_broadcast("other", SimpleNamespace(query_cells=1), still, None)
