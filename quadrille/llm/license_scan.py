@@ -1,13 +1,14 @@
 """License notices by MinHash bands over overlapping text windows, with built-in functions only.
 
-Texts and templates become hashes of five-word shingles.  A text falls into windows of
-``WINDOW`` shingles that begin every ``STEP``; a template into pieces short enough to lie
-whole in some window.  Each of the ``BANDS`` bands is the minimum of one hash function
-over the shingles.  A piece of t shingles collides with its window in a band with
-probability t / WINDOW at least, so a window misses it with (1 - t / WINDOW) ** BANDS at
-most: 1 % for one shingle, which lies in two windows, so about 0.01 % together, and under
-1e-9 for three.  Windows whose bands hold a key of some template go on, and those that
-collide are compared with the template exactly.
+Texts and templates become hashes of five-word shingles.  Windows of ``WINDOW`` shingles
+begin at every shingle, and before the first one and after the last one they are cut, so
+every shingle of a text, also at both ends, lies in ``WINDOW`` windows.  Each of the
+``BANDS`` bands is the minimum of one hash function over the shingles; a template has the
+keys of each of its shingles.  A shingle is the minimum in one of its two windows unless
+both neighbours are smaller, so a band misses a lone one with 1/3 and all of them with
+3 ** -BANDS, about 2e-8; the first and the last shingle of a text, and two in a row, are
+windows of their own and never missed.  A template that shares a band with a document is
+retrieved, and its shingles are then counted over all of the document.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quadrille.plans.materialize import checkpointed
 
-SHINGLE, WINDOW, STEP, BANDS = 5, 4, 2, 16
+SHINGLE, WINDOW, BANDS = 5, 2, 16
 
 #: Wording of published licence notices.
 TEMPLATES = (
@@ -51,11 +52,12 @@ def _shingled(rows: DataFrame) -> DataFrame:
     return rows.withColumn("hashes", F.when(last >= 0, hashes)).drop("words")
 
 
-def _parts(hashes: str, length: int, step: int) -> Column:
-    """Slices of ``length`` that begin every ``step``; the last one is moved back to be full if it can."""
+def _windows(hashes: str) -> Column:
+    """Slices of ``WINDOW`` that end at every shingle and, cut, beyond the last; the first ones are cut too."""
     n = F.size(hashes)
-    starts = F.sequence(F.lit(1), F.greatest(n - length + step, F.lit(1)), F.lit(step))
-    return F.transform(starts, lambda s: F.slice(F.col(hashes), F.least(s, F.greatest(n - length + 1, F.lit(1))), length))
+    ends = F.sequence(F.lit(1), n + WINDOW - 1)
+    begin = lambda end: F.greatest(end - WINDOW + 1, F.lit(1))
+    return F.transform(ends, lambda end: F.slice(F.col(hashes), begin(end), F.least(end, n) - begin(end) + 1))
 
 
 def _banded(parts: DataFrame, length: int) -> DataFrame:
@@ -81,32 +83,35 @@ def scan(
 ) -> DataFrame:
     """``id_col, license, template, n_found, containment``: one row for each document and template in it.
 
-    A template is in a document when ``percent`` of its distinct shingles are in the
-    document's windows that it shares a band with.  Null and short texts have none; rows
-    with equal ids count as one document; extra columns are ignored.
+    A template is in a document when ``percent`` of its distinct shingles are anywhere in
+    it.  Null and short texts have none; rows with equal ids count as one document; extra
+    columns are ignored.
     """
     known = checkpointed(templates_frame(docs.sparkSession, templates))
-    fits = WINDOW - STEP + 1
-    pieces = known.select("template", F.explode(_parts("hashes", fits, fits)).alias("part"))
-    keys = checkpointed(_banded(pieces, fits).select("template", F.array(*_KEYS).alias("keys")))
-    # the templates are a parameter: BANDS keys for each three shingles of their text
-    wanted = [sorted({r["keys"][b] for r in keys.collect()}) for b in range(BANDS)]
+    single = known.select("template", F.explode(F.array_distinct("hashes")).alias("shingle"))
+    banded = _banded(single.withColumn("part", F.array("shingle")), WINDOW)
+    # place BANDS is the shingle itself
+    keys = checkpointed(banded.select("template", F.array(*_KEYS, "shingle").alias("keys")))
+    # the templates are a parameter: BANDS keys for each shingle of their text
+    wanted = [sorted(w) for w in zip(*{tuple(r["keys"]) for r in keys.collect()}, strict=True)] or [[]] * (BANDS + 1)
     texts = docs.select(F.col(id_col).alias("id"), _words(F.col(text_col)).alias("words"))
-    windows = _shingled(texts).select("id", F.explode(_parts("hashes", WINDOW, STEP)).alias("part"))
-    some = reduce(or_, (F.col(k).isin(w) for k, w in zip(_KEYS, wanted, strict=True)))
+    windows = _shingled(texts).select("id", F.explode(_windows("hashes")).alias("part"))
+    # every shingle of a text is the last of a window
+    own = F.element_at("part", -1)
+    places = [*map(F.col, _KEYS), own]
+    some = reduce(or_, (k.isin(w) for k, w in zip(places, wanted, strict=True)))
     # the test is part of the generator: as a filter it would be pushed below the bands and repeat them
-    alike = _banded(windows, WINDOW).select("id", "part", F.explode(F.when(some, F.array(*_KEYS))).alias("key"))
-    hits = alike.join(
-        F.broadcast(keys.select("template", F.explode("keys").alias("key")).distinct()), "key"
-    )
-    full = known.select("template", "license", F.array_distinct("hashes").alias("all"))
-    found = hits.join(F.broadcast(full), "template").select(
-        "id", "license", "template", F.size("all").alias("n"), F.explode(F.array_intersect("part", "all")).alias("shingle")
+    alike = _banded(windows, WINDOW).select("id", F.posexplode(F.when(some, F.array(*places))).alias("place", "key"))
+    lookup = keys.select("template", F.posexplode("keys").alias("place", "key"))
+    full = known.select("template", "license", F.size(F.array_distinct("hashes")).alias("n")).where("n > 0")
+    hits = alike.join(F.broadcast(lookup.join(full, "template")), ["place", "key"]).select(
+        "id", "license", "template", "n", F.when(F.col("place") == BANDS, F.col("key")).alias("shingle")
     )
     share = F.col("n_found") / F.col("n")
     return (
-        found.groupBy("id", "license", "template", "n", "shingle").agg(F.lit(1).alias("one"))
-        .groupBy("id", "license", "template", "n").agg(F.count("one").alias("n_found"))
-        .where(100 * F.col("n_found") >= percent * F.col("n"))
+        hits.groupBy("id", "license", "template", "n", "shingle").agg(F.lit(1).alias("one"))
+        .groupBy("id", "license", "template", "n")
+        .agg(F.count("shingle").alias("n_found"), F.bool_or(F.col("shingle").isNull()).alias("retrieved"))
+        .where(F.col("retrieved") & (100 * F.col("n_found") >= percent * F.col("n")))
         .select(F.col("id").alias(id_col), "license", "template", "n_found", share.alias("containment"))
     )

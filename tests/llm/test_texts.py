@@ -98,6 +98,18 @@ def test_licenses_in_texts(docs):
     assert L.scan(docs([])).collect() == []
 
 
+def test_licenses_at_both_ends_and_in_parts(docs):
+    r = random.Random(8)
+    mit, gpl = L.TEMPLATES[0][1], L.TEMPLATES[4][1].replace("/", " ").split()
+    texts = [f"{prose(r, 'aa', 9)} {mit}" if i % 2 else f"{mit} {prose(r, 'aa', 9)}" for i in range(3000)]
+    got = {(row.doc_id, row.template): row.n_found for row in L.scan(docs(texts)).collect()}
+    assert got == {(i, 0): 1 for i in range(3000)}
+    # 11 of 13 shingles in a row, and each of the other two for itself at an end
+    cut = [f"{' '.join(gpl[:5])} {prose(r, 'aa', 9)} {' '.join(gpl[1:-1])} {prose(r, 'aa', 9)} {' '.join(gpl[-5:])}" for _ in range(400)]
+    found = L.scan(docs(cut)).where("template = 4").collect()
+    assert len(found) == 400 and {row.n_found for row in found} == {len(gpl) - 4}
+
+
 def test_license_plan_is_native(docs):
     plan = L.scan(docs(["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
