@@ -2,13 +2,16 @@
 
 A round is a join of links with the present shards.  Each linked document finds the shard
 most of its neighbours are in and asks to move there; a shard admits movers only up to its
-capacity.  Movers are counted in cells of a hash, so the quota is decided on a table of
-fixed size and no shard's movers are sorted or gathered.  After the rounds, counts are made
-exact by moving as few rows as that takes, unlinked ones first.
+capacity, arrivals counted against the departures of the same round, so full shards still
+exchange.  Movers are counted in cells of a hash for each pair of shards, so the quota is
+decided on a table of fixed size and no shard's movers are sorted or gathered.  Rounds go
+on until nobody asks or nothing is admitted any more.  Then counts are made exact by moving
+as few rows as that takes, unlinked ones first.
 """
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,27 +20,64 @@ from pyspark.sql import functions as F
 from quadrille.llm.frames import partitions
 from quadrille.plans.materialize import checkpointed
 
-SHARDS, ROUNDS, SLACK = 16, 8, 0.02
-_CELLS = 256
+#: ROUNDS is a safety bound; links that are still cut there are counted and reported.
+SHARDS, ROUNDS, SLACK = 16, 64, 0.02
+_CELLS = 64
+#: So many rounds in a row without a move end the propagation, as half of the documents sleep in each.
+_STILL = 8
+_LOG = logging.getLogger(__name__)
 
 
 def _start(shards: int) -> Column:
     return F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
 
 
+def _admitted(
+    wanted: dict[tuple[int, int, int], int], load: dict[int, int], capacity: float, shards: int
+) -> dict[tuple[int, int], int]:
+    """First cell that may not move, for each pair (own, to) of ``wanted(own, to, cell)``.
+
+    From all moves at once, the last cells that arrive at a shard beyond its limit are
+    refused until every shard keeps it; what goes round in a circle stays.  The limit is
+    the capacity, or the present load where that is more already.
+    """
+    most = {s: max(capacity, load.get(s, 0)) for s in range(shards)}
+    then = {s: load.get(s, 0) for s in range(shards)}
+    cells: dict[tuple[int, int], list[int]] = {}
+    for own, to, cell in sorted(wanted):
+        cells.setdefault((own, to), []).append(cell)
+        then[own] -= wanted[own, to, cell]
+        then[to] += wanted[own, to, cell]
+    until = dict.fromkeys(cells, _CELLS)
+    over = [s for s in then if then[s] > most[s]]
+    while over:
+        to = over.pop()
+        while then[to] > most[to]:
+            # back to where most room is
+            own = min((s for s in then if cells.get((s, to))), key=lambda s: then[s] - most[s])
+            until[own, to] = cell = cells[own, to].pop()
+            then[to] -= wanted[own, to, cell]
+            then[own] += wanted[own, to, cell]
+            if then[own] > most[own] and own not in over:
+                over.append(own)
+    return {pair: until[pair] for pair, left in cells.items() if left}
+
+
 def propagate(
     ids: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK
 ) -> DataFrame:
     """``ids(id, ...)`` with ``shard`` and ``linked``; ``links(a, b)`` are undirected.
 
     Unlinked rows can go anywhere, so only linked rows use capacity here: moves fill no
-    shard beyond ``1 - slack`` of an even share of all rows.
+    shard beyond ``1 - slack`` of an even share of all rows, or beyond its load at the
+    start.  After ``rounds`` at the latest, the number of links still cut is logged.
     """
     both = links.select("a", "b").where("a != b")
     both = checkpointed(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     label = checkpointed(both.select(F.col("a").alias("id")).distinct().withColumn("shard", _start(shards)))
     load = {r[0]: r[1] for r in label.groupBy("shard").count().collect()}
     capacity = ids.count() / shards * (1 - slack)
+    still = 0
     for turn in range(rounds):
         near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy("a", "shard").agg(F.count(F.lit(1)).alias("n"))
         own = label.withColumnRenamed("shard", "own")
@@ -47,28 +87,37 @@ def propagate(
                 F.max_by("shard", F.struct("n", F.xxhash64("id", "shard"))).alias("to"), F.max("n").alias("best"),
                 F.max(F.when(F.col("shard") == F.col("own"), F.col("n")).otherwise(0)).alias("here"),
             )
+            .where(F.col("best") > F.col("here"))
             # half of the documents move in a round, so that neighbours don't swap places for ever
-            .where((F.col("best") > F.col("here")) & (F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0))
-            .select("id", "own", "to", F.pmod(F.xxhash64("id", F.lit(-1 - turn)), F.lit(_CELLS)).alias("cell"))
+            .select(
+                "id", "own", "to", (F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0).alias("awake"),
+                F.pmod(F.xxhash64("id", F.lit(-1 - turn)), F.lit(_CELLS)).alias("cell"),
+            )
         )
         ask = checkpointed(ask)
-        wanted = {(r["to"], r["cell"]): r["n"] for r in ask.groupBy("to", "cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-        until = {}
-        for to in {t for t, _ in wanted}:
-            room = capacity - load.get(to, 0)
-            until[to] = next((c for c in range(_CELLS) if (room := room - wanted.get((to, c), 0)) < 0), _CELLS)
-        if not any(until.values()):
-            if wanted or turn % 2 == 0:
-                continue
+        asked = ask.where("awake").groupBy("own", "to", "cell").agg(F.count(F.lit(1)).alias("n"))
+        wanted = {(r["own"], r["to"], r["cell"]): r["n"] for r in asked.collect()}
+        if not wanted and ask.isEmpty():
+            break
+        until = _admitted(wanted, load, capacity, shards)
+        still = 0 if until else still + 1
+        if still == _STILL:
             break
-        limit = F.create_map(*(F.lit(x) for k, v in until.items() for x in (k, v)))
-        moved = checkpointed(ask.where(F.col("cell") < limit[F.col("to")]))
-        for own_shard, to, n in moved.groupBy("own", "to").count().collect():
-            load[own_shard] -= n
-            load[to] = load.get(to, 0) + n
+        if not until:
+            continue
+        limit = F.array(*(F.lit(until.get((s, t), 0)) for s in range(shards) for t in range(shards)))
+        moved = ask.where(F.col("awake") & (F.col("cell") < F.get(limit, F.col("own") * shards + F.col("to"))))
+        for (own_shard, to, cell), n in wanted.items():
+            if cell < until.get((own_shard, to), 0):
+                load[own_shard] -= n
+                load[to] = load.get(to, 0) + n
         label = checkpointed(
             label.join(moved.select("id", "to"), "id", "left").select("id", F.coalesce("to", "shard").alias("shard"))
         )
+    else:
+        ends = both.where("a < b").join(label.select(F.col("id").alias("a"), F.col("shard").alias("of_a")), "a")
+        ends = ends.join(label.select(F.col("id").alias("b"), F.col("shard").alias("of_b")), "b")
+        _LOG.warning("%d links are cut after %d rounds", ends.where("of_a != of_b").count(), rounds)
     return ids.join(label.withColumn("linked", F.lit(True)), "id", "left").select(
         *ids.columns, F.coalesce("shard", _start(shards)).alias("shard"), F.coalesce("linked", F.lit(False)).alias("linked")
     )

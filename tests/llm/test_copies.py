@@ -115,6 +115,17 @@ def test_shards_are_even_and_keep_groups(docs):
     assert sum(len(where[f"group {i}"]) == 1 for i in range(40)) >= 36
 
 
+def test_full_shards_still_bring_copies_together(docs):
+    texts = [f"pair {i // 2}" for i in range(6000)]
+    got = shard_documents(docs(texts), rounds=24).collect()
+    counts = Counter(r.shard for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    where = {}
+    for r in got:
+        where.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert sum(len(v) == 1 for v in where.values()) >= 0.9 * len(where)
+
+
 def test_shards_of_one_huge_group_few_rows_and_none(docs):
     got = shard_documents(docs(["same"] * 400 + [str(i) for i in range(200)])).collect()
     counts = Counter(r.shard for r in got)
