@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quadrille.llm.best_fit import pack_documents
 from quadrille.llm.content_sort import exact_duplicates
@@ -12,6 +13,14 @@ from quadrille.llm.frames import table
 from quadrille.llm.language_masks import keep_identified
 from quadrille.llm.minmax_dedup import near_duplicates
 from quadrille.llm.queries import BYTE_RANKS, quality_of
+from quadrille.plans.materialize import checkpointed
+
+_ROW = "_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, kept in a checkpoint; ids may repeat or be null."""
+    return checkpointed(docs.withColumn(_ROW, F.monotonically_increasing_id()))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,20 +30,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely poor than good, by their text and their site, go."""
-    kept = quality_of(docs, table(spark, sf_dir, "labels")).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    rows = _keyed(docs)
+    kept = quality_of(rows, table(spark, sf_dir, "labels"), _ROW).where("kept").select(_ROW)
+    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of equal texts stays, the one with the largest id."""
-    kept = exact_duplicates(docs, keep="largest").where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row of equal texts stays, one with the largest id; a null id only if all are null."""
+    rows = _keyed(docs)
+    best = exact_duplicates(rows, keep="largest").where("kept or keep_id is null").select(
+        F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_digest")
+    ).distinct()
+    own = rows.select(_ROW, "doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("_digest"))
+    first = best.join(own, "_digest").where(F.col("doc_id").eqNullSafe(F.col("_keep"))).groupBy("_digest").agg(
+        F.min(_ROW).alias(_ROW)
+    )
+    return rows.join(first.select(_ROW), _ROW, "left_semi").select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of near copies stays, the one with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group of near copies stays, one with the smallest id; a null id only if all are null."""
+    rows = _keyed(docs)
+    groups = near_duplicates(rows, id_col=_ROW).select(_ROW, "component_id").join(rows.select(_ROW, "doc_id"), _ROW)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", _ROW)
+    kept = groups.groupBy("component_id").agg(F.min_by(_ROW, order).alias(_ROW)).select(_ROW)
+    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

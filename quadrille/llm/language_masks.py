@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from quadrille.llm.frames import slices
 from quadrille.llm.words import mixed
-from quadrille.plans.materialize import checkpointed
 
 GRAM, HASHES, BITS = 4, 2, 21
 UNKNOWN = "und"
@@ -221,11 +220,23 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def keep_identified(docs: DataFrame, least_score: float = 0.2, short: int = 40) -> DataFrame:
-    """The rows of ``docs`` in a learned language, columns unchanged; ``doc_id`` must be unique.
+    """The rows of ``docs`` in a learned language, columns unchanged; ids may repeat or be null.
 
     Without a letter a row goes; with a score under ``least_score`` it goes unless the text
     has fewer than ``short`` characters, too few to tell.
     """
-    found = checkpointed(predict(docs)).where(F.col("lang_pred") != UNKNOWN)
-    sure = docs.join(found.select("doc_id", F.col("score").alias("_lang_score")), "doc_id")
-    return sure.where((F.col("_lang_score") >= least_score) | (F.char_length("text") < short)).select(*docs.columns)
+    seen = docs.where(F.coalesce(~held_out(), F.lit(True)))
+    f = fit(seen, "text", "lang", F.xxhash64(F.col("doc_id").cast("string")))
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(f))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Filters(*shared.value)
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                share, _, has = shares(texts, own)
+                few = np.array([len(t) < short for t in texts], bool)
+                keep = has & bool(own.languages) & (few | (share.max(1, initial=0) >= least_score))
+                yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

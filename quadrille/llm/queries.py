@@ -41,9 +41,9 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
-def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality_of(docs: DataFrame, labels: DataFrame, row_col: str | None = None) -> DataFrame:
     """A document's host is its source, its path there its language."""
-    return score(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+    return score(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"), row_col=row_col)
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,6 +90,7 @@ def _strength(spread: float, rate: float, groups: int, rows: int) -> float:
 def score(
     docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality", fit_rows: int = 20_000, threshold: float = 0.5,
+    row_col: str | None = None,
 ) -> DataFrame:
     """``id_col, own, host_rate, path_rate, quality, kept``: one row for every row of ``docs``.
 
@@ -99,9 +100,10 @@ def score(
     that aren't held out; the sites' evidence is over all rows, the label where one may be
     used and the classifier's probability elsewhere.  Labels of 0 and 1 count, repeated
     ones by their mean; without both, ``own`` is one half.  A null host or path is a site
-    of its own, a null text counts as empty.  Ids must be unique and not null.
+    of its own, a null text counts as empty.  Rows with the same id share its label, a null
+    id has none; ``row_col``, a long that tells rows apart, is put first in the result.
     """
-    names = ["id", "host", "path", "held"]
+    names = ["id", "row", "host", "path", "held"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -112,10 +114,11 @@ def score(
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, "f"])
 
     source = docs.select(
-        F.col(id_col).cast("long").alias("id"), host.cast("string").alias("host"), path.cast("string").alias("path"),
+        F.col(id_col).cast("long").alias("id"), (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row"),
+        host.cast("string").alias("host"), path.cast("string").alias("path"),
         F.coalesce(held_out(id_col), F.lit(True)).alias("held"), F.col(text_col).alias("text"),
     )
-    measured = source.mapInArrow(run, "id long, host string, path string, held boolean, f array<double>")
+    measured = source.mapInArrow(run, "id long, row long, host string, path string, held boolean, f array<double>")
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("id")).agg(
         F.avg(F.col(label_col).cast("double")).alias("label")
     )
@@ -132,10 +135,10 @@ def score(
     else:
         linear = F.lit(0.0)
     own = 1 / (1 + F.exp(-F.least(F.greatest(linear, F.lit(-30.0)), F.lit(30.0))))
-    scored = rows.select("id", "host", "path", own.alias("own"), "held", "label").withColumn(
+    scored = rows.select("id", "row", "host", "path", own.alias("own"), "held", "label").withColumn(
         "seen", F.when(~F.col("held") & F.col("label").isNotNull(), F.col("label")).otherwise(F.col("own"))
     )
-    scored = checkpointed(scored.select("id", "host", "path", "own", "seen"))
+    scored = checkpointed(scored.select("id", "row", "host", "path", "own", "seen"))
     paths = checkpointed(
         scored.groupBy("host", "path").agg(F.sum("seen").alias("path_sum"), F.count(F.lit(1)).alias("path_n"))
     )
@@ -155,12 +158,12 @@ def score(
         site, F.col("d.host").eqNullSafe(F.col("s.host")) & F.col("d.path").eqNullSafe(F.col("s.path"))
     )
     host_rate = (F.col("host_sum") - F.col("seen") + strong * rate) / (F.col("host_n") - 1 + strong)
-    d = d.select("id", "own", "seen", "path_sum", "path_n", host_rate.alias("host_rate"))
+    d = d.select("id", "row", "own", "seen", "path_sum", "path_n", host_rate.alias("host_rate"))
     path_rate = (F.col("path_sum") - F.col("seen") + path_strong * F.col("host_rate")) / (F.col("path_n") - 1 + path_strong)
-    d = d.select("id", "own", "host_rate", path_rate.alias("path_rate"))
+    d = d.select("id", "row", "own", "host_rate", path_rate.alias("path_rate"))
     both = _logit(F.col("own")) + _logit(F.col("path_rate")) - float(np.log(rate / (1 - rate)))
     quality = 1 / (1 + F.exp(-both))
     return d.select(
-        F.col("id").alias(id_col), "own", "host_rate", "path_rate", quality.alias("quality"),
+        *([F.col("row").alias(row_col)] if row_col else []), F.col("id").alias(id_col), "own", "host_rate", "path_rate", quality.alias("quality"),
         (quality >= threshold).alias("kept"),
     )

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import corpus_pipeline
 import pytest
 from quadrille.llm.balanced_shards import shard_documents
 from quadrille.llm.content_sort import exact_duplicates
@@ -132,3 +133,22 @@ def test_shards_of_one_huge_group_few_rows_and_none(docs):
     assert max(counts.values()) - min(counts.values()) <= 1
     assert len(shard_documents(docs(["a", "a", None])).collect()) == 3
     assert shard_documents(docs([])).collect() == []
+
+
+def test_stages_with_null_and_repeated_ids(spark, tmp_path):
+    r = random.Random(4)
+    texts = [" ".join(r.choice("ka ro mi te su lo pe".split()) + r.choice("ra no di".split()) for _ in range(80)) for _ in range(6)]
+    rows = [(1, texts[0])] * 4 + [(None, texts[1])] * 2 + [(2, texts[1]), (None, texts[2]), (None, texts[2]), (3, texts[3]), (3, texts[4]), (9, texts[3])]
+    frame = spark.createDataFrame([(i, t, "aa", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(77, 1)], "doc_id long, quality int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    got = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, frame, str(tmp_path))
+        assert out.columns == frame.columns
+        got[name] = sorted(((x.doc_id, x.text) for x in out.collect()), key=key)
+    assert got["language"] == got["quality"] == sorted(rows, key=key)
+    one = [(1, texts[0]), (2, texts[1]), (None, texts[2]), (3, texts[4])]
+    assert got["exact"] == sorted([*one, (9, texts[3])], key=key)
+    assert got["near"] == sorted([*one, (3, texts[3])], key=key)
