@@ -27,10 +27,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Size estimates with more bits than this say nothing about the data any more.
+_ESTIMATE_BITS = 48
+
+
+def size_estimate_bits(df: DataFrame) -> int:
+    """Bits of the optimizer's size estimate for ``df``."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()).bit_length()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and read it back from the checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and read it back from the checkpoint folder.
+
+    A checkpoint keeps the size estimate of the plan it cuts, and each join multiplies
+    estimates, so in an iteration they grow to numbers that the planner spends its time
+    on.  An estimate beyond 2 ** 48 is dropped: the plan starts afresh from the stored rows.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    kept = df.checkpoint(eager=True)
+    if size_estimate_bits(kept) <= _ESTIMATE_BITS:
+        return kept
+    rows = kept._jdf.queryExecution().toRdd()
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, kept._jdf.schema(), False), spark)
 
 
 @contextmanager

@@ -2,6 +2,8 @@
 
 import __spark_entry__ as entry
 import quadrille as qd
+from pyspark.sql import functions as F
+from quadrille.plans.materialize import checkpointed, size_estimate_bits
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +46,12 @@ def test_window_of_the_queries_reaches_the_scan(spark):
     q = spark.createDataFrame([(1, 10.0, 1e4, 20.0, 2e4)], "id long, x1 double, y1 double, x2 double, y2 double")
     text = plan(qd.spatial_count(items, q, target_columns=("l_quantity", "l_extendedprice")))
     assert "GreaterThanOrEqual(l_quantity,10.0)" in text
+
+
+def test_size_estimates_do_not_grow_with_rounds(spark):
+    rows = spark.range(50).selectExpr("id", "id % 7 as v")
+    state = checkpointed(rows)
+    for _ in range(30):
+        top = state.groupBy("v").agg(F.max("id").alias("top"))
+        state = checkpointed(state.join(top, "v").join(rows.select("id"), "id").select("id", "v"))
+    assert size_estimate_bits(state) < 100 and state.count() == 50
