@@ -14,6 +14,7 @@ from quadrille.llm.best_fit import pack_documents
 from quadrille.llm.block_rules import extract
 from quadrille.llm.content_sort import exact_duplicates
 from quadrille.llm.frames import table
+from quadrille.llm.hard_negatives import hard_negatives
 from quadrille.llm.language_masks import predict
 from quadrille.llm.license_scan import SHINGLE, TEMPLATES, scan
 from quadrille.llm.minmax_dedup import near_duplicates
@@ -70,6 +71,13 @@ def piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), PIECES)
 
 
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id is divisible by 7 carry the next label."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), vec_id % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_masks": language,
@@ -82,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit": packing,
         "op9_subspace_join": vector_dedup,
         "op10_piece_merge": piece_coding,
+        "op11_hard_negatives": mined_negatives,
     }
 
 
@@ -116,6 +125,22 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, c.m) AS component_id,
 FROM embeddings LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.x = vec_id"""
 
 
+NEGATIVES_SQL = """WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+  p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+WHERE 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10"""
+
+
 def _license_sql() -> str:
     """Every template shingle looked up in every normalised text."""
     rows = []
@@ -136,4 +161,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_license_scan": _license_sql(),
         "op7_minmax_dedup": NEAR_SQL,
         "op9_subspace_join": VECTOR_SQL,
+        "op11_hard_negatives": NEGATIVES_SQL,
     }
