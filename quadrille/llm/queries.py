@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quadrille.llm.balanced_shards import shard_documents
 from quadrille.llm.best_fit import pack_documents
 from quadrille.llm.block_rules import extract
+from quadrille.llm.collocations import collocations
 from quadrille.llm.content_sort import exact_duplicates
 from quadrille.llm.frames import table
 from quadrille.llm.hard_negatives import hard_negatives
@@ -78,6 +79,10 @@ def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), vec_id % 100 == 0)
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_masks": language,
@@ -91,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_subspace_join": vector_dedup,
         "op10_piece_merge": piece_coding,
         "op11_hard_negatives": mined_negatives,
+        "op12_collocations": phrases,
     }
 
 
@@ -141,6 +147,28 @@ WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)
 QUALIFY row_number() OVER w <= 10"""
 
 
+PHRASES_SQL = """WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM d),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, m, unnest([array_to_string(w[i : i + m - 1], ' ') for i in range(1, len(w) - m + 2)]) AS phrase
+  FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS m)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL),
+c AS (SELECT * FROM f WHERE m > 1 AND a >= 100),
+k AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c AS o WHERE o.lang = c.lang AND o.m > c.m AND 100 * o.a >= 100 * c.a
+  AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+s AS (SELECT lang, phrase, a, unnest(range(1, m)) AS cut, string_split(phrase, ' ') AS w FROM k),
+x AS (SELECT s.lang, s.phrase, s.a, cut, l.a AS l, r.a AS r, n,
+    CAST(1000 * CAST(s.a AS HUGEINT) * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM s JOIN t ON t.lang = s.lang JOIN f AS l ON l.lang = s.lang AND l.phrase = array_to_string(w[1 : cut], ' ')
+  JOIN f AS r ON r.lang = s.lang AND r.phrase = array_to_string(w[cut + 1 :], ' ')),
+y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER u AS rank, phrase, a, l, r, n, score FROM y
+WINDOW u AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER u <= 2000"""
+
+
 def _license_sql() -> str:
     """Every template shingle looked up in every normalised text."""
     rows = []
@@ -162,4 +190,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_minmax_dedup": NEAR_SQL,
         "op9_subspace_join": VECTOR_SQL,
         "op11_hard_negatives": NEGATIVES_SQL,
+        "op12_collocations": PHRASES_SQL,
     }
