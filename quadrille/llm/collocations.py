@@ -35,7 +35,9 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 #: Most hashes broadcast at a time (16 MB).
 KEYS = 1 << 21
 #: Shares of the open words' occurrences that the first waves expand; later waves take all.
-WAVES = (1 / 16, 1 / 4)
+WAVES = (1 / 8,)
+#: Most languages whose totals are broadcast.
+_LANGUAGES = 1 << 15
 _HELD = 1 << 20  # partial counts held by a task
 BLANKS, BREAKS = byte_set(0x20, 9), byte_set(*b".,;:!?", *range(0x0A, 0x0E))
 _EXACT = "lang string, phrase string, size int, a long, left_lo long, left_hi long, right_lo long, right_hi long"
@@ -109,17 +111,16 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _extensions(members, size: int):
-    """``h, n`` of the runs of ``size`` words whose first ``size - 1`` words are a member."""
+def _extensions(members, prefix_size: int, sizes: range):
+    """``h, n`` of the runs of ``sizes`` words whose first ``prefix_size`` words are a member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = members.value, []
         for _, s, h in _texts(batches):
-            at, prefix = grams(h, s.piece, size - 1)
-            inside = np.zeros(len(h) + 1, bool)
-            inside[at[known.has(prefix)]] = True
-            at, keys = grams(h, s.piece, size)
-            held.append(np.unique(keys[inside[at]], return_counts=True))
+            at, prefix = grams(h, s.piece, prefix_size)
+            begin = at[known.has(prefix)]
+            for size in sizes:
+                held.append(np.unique(grams(h, s.piece, size, begin)[1], return_counts=True))
             if sum(len(p[0]) for p in held) > _HELD:
                 held = [_added(held)]
                 if len(held[0][0]) > _HELD // 2:
@@ -193,11 +194,17 @@ def _by_slices(
 
 
 def _grown(source: DataFrame, words: DataFrame, least: int, longest: int, keys_at_once: int) -> DataFrame | None:
-    """Hashes of the frequent phrases that begin with one of ``words(h)``, and maybe a few more."""
+    """Hashes of the frequent phrases that begin with one of ``words(h)``, and maybe a few more.
+
+    The last two sizes grow in one scan: few prefixes are left there, so the shortcut costs
+    less than another scan of the texts.
+    """
     level, found = words, []
-    for size in range(2, longest + 1):
+    for size in range(2, max(3, longest)):
+        sizes = range(size, longest + 1) if size >= longest - 1 else range(size, size + 1)
         level = _by_slices(
-            source, level, keys_at_once, lambda sent, size=size: _extensions(sent, size), "h long, n long",
+            source, level, keys_at_once, lambda sent, size=size, sizes=sizes: _extensions(sent, size - 1, sizes),
+            "h long, n long",
             lambda df: df.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"),
         )
         if level.isEmpty():
@@ -300,12 +307,16 @@ def collocations(
     tally = source.mapInArrow(_word_counts, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("f"))
     tally = checkpointed(tally.where((F.col("f") >= least) | F.col("h").isNull()))
     totals = tally.where("h is null").select("lang", F.col("f").alias("n"))
+    if totals.count() <= _LANGUAGES:
+        totals = F.broadcast(totals)
     words = tally.where("h is not null").join(totals, "lang").withColumn("bound", F.expr("cast(1000 as decimal(4, 0)) * n div f"))
     best = _nothing(spark)
     done, turn = 0, 0
     while True:
         floor = best.groupBy("lang").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("many"))
-        floor = floor.where(F.col("many") >= top).select("lang", "floor")
+        floor = checkpointed(floor.where(F.col("many") >= top).select("lang", "floor"))
+        if floor.count() <= _LANGUAGES:
+            floor = F.broadcast(floor)
         pending = words.where(F.col("f") > done).join(floor, "lang", "left").where("floor is null or bound >= floor")
         pending = checkpointed(pending.select("h", "f"))
         most = _wave(pending, waves[turn] if turn < len(waves) else 1.0)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm.balanced_shards import shard_documents
-from quadrille.llm.best_fit import pack_documents
+from quadrille.llm.best_fit import pack_documents, vocabulary
 from quadrille.llm.block_rules import extract
 from quadrille.llm.collocations import collocations
 from quadrille.llm.content_sort import exact_duplicates
@@ -22,8 +22,9 @@ from quadrille.llm.minmax_dedup import near_duplicates
 from quadrille.llm.piece_merge import digests
 from quadrille.llm.site_quality import score
 from quadrille.llm.subspace_join import near_vectors
+from quadrille.llm.toxicity import score as toxicity
 
-BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byte_bpe_50k.json as ranks
+BYTE_BPE = vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"))
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -61,7 +62,7 @@ def minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), BYTE_RANKS)
+    return pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
 def vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,10 @@ def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_masks": language,
@@ -97,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_piece_merge": piece_coding,
         "op11_hard_negatives": mined_negatives,
         "op12_collocations": phrases,
+        "op13_toxicity": toxic_documents,
     }
 
 

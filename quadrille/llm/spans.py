@@ -79,12 +79,18 @@ def spans(column: pa.Array, separators: np.ndarray, breaks: np.ndarray | None =
     return Spans(raw, begin, end, first, hashes, piece)
 
 
-def grams(hashes: np.ndarray, piece: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the first word, and hash, of every run of ``size`` words inside a piece."""
+def grams(
+    hashes: np.ndarray, piece: np.ndarray, size: int, begin: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first word, and hash, of every run of ``size`` words inside a piece; ``begin``: only from there."""
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.flatnonzero(piece[:n] == piece[size - 1 :])
+    if begin is None:
+        at = np.flatnonzero(piece[:n] == piece[size - 1 :])
+    else:
+        begin = begin[begin < n]
+        at = begin[piece[begin] == piece[begin + size - 1]]
     out = np.full(len(at), size, np.uint64) * _PLACE[7]
     for k in range(size):
         out += hashes[at + k] * _PLACE[k]
