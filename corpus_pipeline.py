@@ -12,7 +12,7 @@ from quadrille.llm.content_sort import exact_duplicates
 from quadrille.llm.frames import table
 from quadrille.llm.language_masks import keep_identified
 from quadrille.llm.minmax_dedup import near_duplicates
-from quadrille.llm.queries import BYTE_RANKS, quality_of
+from quadrille.llm.queries import BYTE_BPE, quality_of
 from quadrille.plans.materialize import checkpointed
 
 _ROW = "_row"
@@ -58,7 +58,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, BYTE_RANKS)
+    return pack_documents(docs, BYTE_BPE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
