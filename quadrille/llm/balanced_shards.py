@@ -4,9 +4,13 @@ A round is a join of links with the present shards.  Each linked document finds
 most of its neighbours are in and asks to move there; a shard admits movers only up to its
 capacity, arrivals counted against the departures of the same round, so full shards still
 exchange.  Movers are counted in cells of a hash for each pair of shards, so the quota is
-decided on a table of fixed size and no shard's movers are sorted or gathered.  Rounds go
-on until nobody asks or nothing is admitted any more.  Then counts are made exact by moving
-as few rows as that takes, unlinked ones first.
+decided on a table of fixed size and no shard's movers are sorted or gathered.
+
+In the first rounds half of the documents move at a time.  Afterwards only documents that
+come before all their asking neighbours, in the order of a hash, move; each such move
+makes at least one cut link less, so the rounds come to an end by themselves: when nobody
+asks, or when neither that order nor the reverse admits a move.  Then counts are made
+exact by moving as few rows as that takes, unlinked ones first.
 """
 
 from __future__ import annotations
@@ -20,11 +24,10 @@ from pyspark.sql import functions as F
 from quadrille.llm.frames import partitions
 from quadrille.plans.materialize import checkpointed
 
-#: ROUNDS is a safety bound; links that are still cut there are counted and reported.
-SHARDS, ROUNDS, SLACK = 16, 64, 0.02
-_CELLS = 64
-#: So many rounds in a row without a move end the propagation, as half of the documents sleep in each.
-_STILL = 8
+SHARDS, SLACK = 16, 0.02
+#: Rounds in which linked documents may move at the same time.
+_TOGETHER = 12
+_CELLS, _LATE_CELLS = 64, 512
 _LOG = logging.getLogger(__name__)
 
 
@@ -33,7 +36,7 @@ def _start(shards: int) -> Column:
 
 
 def _admitted(
-    wanted: dict[tuple[int, int, int], int], load: dict[int, int], capacity: float, shards: int
+    wanted: dict[tuple[int, int, int], int], load: dict[int, int], capacity: float, shards: int, n_cells: int = _CELLS
 ) -> dict[tuple[int, int], int]:
     """First cell that may not move, for each pair (own, to) of ``wanted(own, to, cell)``.
 
@@ -48,7 +51,7 @@ def _admitted(
         cells.setdefault((own, to), []).append(cell)
         then[own] -= wanted[own, to, cell]
         then[to] += wanted[own, to, cell]
-    until = dict.fromkeys(cells, _CELLS)
+    until = dict.fromkeys(cells, n_cells)
     over = [s for s in then if then[s] > most[s]]
     while over:
         to = over.pop()
@@ -63,50 +66,50 @@ def _admitted(
     return {pair: until[pair] for pair, left in cells.items() if left}
 
 
-def propagate(
-    ids: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK
-) -> DataFrame:
-    """``ids(id, ...)`` with ``shard`` and ``linked``; ``links(a, b)`` are undirected.
+def propagate(ids: DataFrame, links: DataFrame, shards: int = SHARDS, slack: float = SLACK) -> tuple[DataFrame, int]:
+    """``ids(id, ...)`` with ``shard`` and ``linked``, and the number of links still cut; ``links(a, b)`` are undirected.
 
     Unlinked rows can go anywhere, so only linked rows use capacity here: moves fill no
     shard beyond ``1 - slack`` of an even share of all rows, or beyond its load at the
-    start.  After ``rounds`` at the latest, the number of links still cut is logged.
+    start.
     """
     both = links.select("a", "b").where("a != b")
     both = checkpointed(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     label = checkpointed(both.select(F.col("a").alias("id")).distinct().withColumn("shard", _start(shards)))
     load = {r[0]: r[1] for r in label.groupBy("shard").count().collect()}
     capacity = ids.count() / shards * (1 - slack)
-    still = 0
-    for turn in range(rounds):
+    turn = idle = 0
+    while idle < 2:
+        late = turn >= _TOGETHER
+        n_cells = _LATE_CELLS if late else _CELLS
+        order = F.xxhash64("id", F.lit(-1))
         near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy("a", "shard").agg(F.count(F.lit(1)).alias("n"))
         own = label.withColumnRenamed("shard", "own")
-        ask = (
+        ask = checkpointed(
             near.withColumnRenamed("a", "id").join(own, "id").groupBy("id", "own")
             .agg(
                 F.max_by("shard", F.struct("n", F.xxhash64("id", "shard"))).alias("to"), F.max("n").alias("best"),
                 F.max(F.when(F.col("shard") == F.col("own"), F.col("n")).otherwise(0)).alias("here"),
             )
             .where(F.col("best") > F.col("here"))
-            # half of the documents move in a round, so that neighbours don't swap places for ever
             .select(
-                "id", "own", "to", (F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0).alias("awake"),
-                F.pmod(F.xxhash64("id", F.lit(-1 - turn)), F.lit(_CELLS)).alias("cell"),
+                "id", "own", "to", (F.bitwise_not(order) if turn % 2 else order).alias("order"),
+                F.pmod(F.xxhash64("id", F.lit(-2 - turn)), F.lit(n_cells)).alias("cell"),
             )
         )
-        ask = checkpointed(ask)
-        asked = ask.where("awake").groupBy("own", "to", "cell").agg(F.count(F.lit(1)).alias("n"))
+        movers = _first_of_neighbours(ask, both) if late else ask.where(F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(2)) == 0)
+        asked = movers.groupBy("own", "to", "cell").agg(F.count(F.lit(1)).alias("n"))
         wanted = {(r["own"], r["to"], r["cell"]): r["n"] for r in asked.collect()}
         if not wanted and ask.isEmpty():
             break
-        until = _admitted(wanted, load, capacity, shards)
-        still = 0 if until else still + 1
-        if still == _STILL:
-            break
+        until = _admitted(wanted, load, capacity, shards, n_cells)
+        turn += 1
         if not until:
+            idle += late
             continue
+        idle = 0
         limit = F.array(*(F.lit(until.get((s, t), 0)) for s in range(shards) for t in range(shards)))
-        moved = ask.where(F.col("awake") & (F.col("cell") < F.get(limit, F.col("own") * shards + F.col("to"))))
+        moved = movers.where(F.col("cell") < F.get(limit, F.col("own") * shards + F.col("to")))
         for (own_shard, to, cell), n in wanted.items():
             if cell < until.get((own_shard, to), 0):
                 load[own_shard] -= n
@@ -114,13 +117,20 @@ def propagate(
         label = checkpointed(
             label.join(moved.select("id", "to"), "id", "left").select("id", F.coalesce("to", "shard").alias("shard"))
         )
-    else:
-        ends = both.where("a < b").join(label.select(F.col("id").alias("a"), F.col("shard").alias("of_a")), "a")
-        ends = ends.join(label.select(F.col("id").alias("b"), F.col("shard").alias("of_b")), "b")
-        _LOG.warning("%d links are cut after %d rounds", ends.where("of_a != of_b").count(), rounds)
+    ends = both.where("a < b").join(label.select(F.col("id").alias("a"), F.col("shard").alias("of_a")), "a")
+    ends = ends.join(label.select(F.col("id").alias("b"), F.col("shard").alias("of_b")), "b")
+    cut = ends.where("of_a != of_b").count()
     return ids.join(label.withColumn("linked", F.lit(True)), "id", "left").select(
         *ids.columns, F.coalesce("shard", _start(shards)).alias("shard"), F.coalesce("linked", F.lit(False)).alias("linked")
-    )
+    ), cut
+
+
+def _first_of_neighbours(ask: DataFrame, both: DataFrame) -> DataFrame:
+    """Those of ``ask(id, order, ...)`` that no asking neighbour comes before."""
+    a = ask.select(F.col("id").alias("a"), F.struct("order", "id").alias("of_a"))
+    b = ask.select(F.col("id").alias("b"), F.struct("order", "id").alias("of_b"))
+    later = both.join(a, "a").join(b, "b").where("of_b < of_a").select(F.col("a").alias("id")).distinct()
+    return checkpointed(ask.join(later, "id", "left_anti"))
 
 
 def _numbered(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
@@ -163,8 +173,7 @@ def even(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def shard_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, rounds: int = ROUNDS,
-    slack: float = SLACK,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, slack: float = SLACK
 ) -> DataFrame:
     """``id_col, size, text_crc32, law, shard, slot, grown_shard``; equal texts are linked.
 
@@ -194,7 +203,9 @@ def shard_documents(
         hubs.join(heads, "digest").select(F.col("hub").alias("a"), F.col("head").alias("b"))
     )
     rows = base.select("id", "size", "text_crc32")
-    placed = checkpointed(even(checkpointed(propagate(rows, links, shards, rounds, slack)), shards))
+    moved, cut = propagate(rows, links, shards, slack)
+    _LOG.info("%d of the links between equal texts are cut", cut)
+    placed = checkpointed(even(checkpointed(moved), shards))
     return _numbered(placed, ["shard"], [], "slot").select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),

@@ -7,8 +7,9 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
-from quadrille.llm.balanced_shards import shard_documents
-from quadrille.llm.content_sort import exact_duplicates
+from pyspark.sql import functions as F
+from quadrille.llm.balanced_shards import propagate, shard_documents
+from quadrille.llm.content_sort import distinct_texts, exact_duplicates
 from quadrille.llm.frames import components
 from quadrille.llm.minmax_dedup import near_duplicates
 from quadrille.llm.words import shingles
@@ -93,6 +94,25 @@ def test_exact_copies_with_repeated_and_null_ids(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (2, "b")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.keep_id, r.group_size) for r in exact_duplicates(rows).collect())
     assert got == [(0, 1, 3), (1, 1, 3), (1, 1, 3), (2, 2, 1)]
+    assert [r.kept for r in exact_duplicates(rows).where("doc_id is null").collect()] == [False]
+
+
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_distinct_texts_keeps_whole_rows(docs, keep):
+    texts = ["same"] * 300 + ODD + ["same ", "x" * 100_000, "x" * 100_000 + "y", "x" * 100_000] + ["two"] * 2
+    frame = docs(texts, parts=5).withColumn("null", F.lit(1)).withColumn("body", F.col("doc_id") * 2).withColumn("a b", F.lit("c"))
+    best = max if keep == "largest" else min
+    groups = {}
+    for i, t in enumerate(texts):
+        groups.setdefault(t or "", []).append(i)
+    want = sorted(tuple(r) for r in frame.collect() if best(groups[r.text or ""]) == r.doc_id)
+    for df in (frame, frame.repartition(1)):
+        out = distinct_texts(df, keep=keep)
+        assert out.columns == frame.columns
+        assert sorted(map(tuple, out.collect()), key=lambda r: r[0]) == want
+    upper = distinct_texts(frame, normalise=F.upper, keep=keep).collect()
+    assert len(upper) == len({(t or "").upper() for t in texts})
+    assert distinct_texts(frame.limit(0)).collect() == []
 
 
 def test_components_of_a_long_path(spark):
@@ -118,7 +138,7 @@ def test_shards_are_even_and_keep_groups(docs):
 
 def test_full_shards_still_bring_copies_together(docs):
     texts = [f"pair {i // 2}" for i in range(6000)]
-    got = shard_documents(docs(texts), rounds=24).collect()
+    got = shard_documents(docs(texts)).collect()
     counts = Counter(r.shard for r in got)
     assert max(counts.values()) - min(counts.values()) <= 1
     where = {}
@@ -127,6 +147,17 @@ def test_full_shards_still_bring_copies_together(docs):
     assert sum(len(v) == 1 for v in where.values()) >= 0.9 * len(where)
 
 
+def test_propagation_ends_and_reports_cut_links(spark):
+    r = random.Random(9)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(900)]
+    ids = spark.range(320)
+    placed, cut = propagate(ids, spark.createDataFrame(links, "a long, b long"), shards=4)
+    shard = {x.id: x.shard for x in placed.collect()}
+    assert len(shard) == 320
+    assert cut == sum(shard[a] != shard[b] for a, b in links if a != b) < 0.7 * len(links)
+    assert max(Counter(shard.values()).values()) <= 110
+
+
 def test_shards_of_one_huge_group_few_rows_and_none(docs):
     got = shard_documents(docs(["same"] * 400 + [str(i) for i in range(200)])).collect()
     counts = Counter(r.shard for r in got)
@@ -152,3 +183,14 @@ def test_stages_with_null_and_repeated_ids(spark, tmp_path):
     one = [(1, texts[0]), (2, texts[1]), (None, texts[2]), (3, texts[4])]
     assert got["exact"] == sorted([*one, (9, texts[3])], key=key)
     assert got["near"] == sorted([*one, (3, texts[3])], key=key)
+    clash = frame.withColumn("row", F.lit("x")).withColumn("_row", F.lit("y"))
+    for stage in (corpus_pipeline.quality, corpus_pipeline.near):
+        out = stage(spark, clash, str(tmp_path))
+        assert out.columns == clash.columns and {(x.row, x["_row"]) for x in out.collect()} == {("x", "y")}
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(((p.doc_id is None, p.doc_id or 0) for p in packed)) == [(False, 1), (False, 2), (False, 3), (False, 9), (True, 0)]
+    end = {}
+    for p in sorted(packed, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == end.get(p.sequence_id, 0) and p.length <= 2048
+        end[p.sequence_id] = p.offset + p.length
