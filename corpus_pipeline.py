@@ -8,19 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm.best_fit import pack_documents
-from quadrille.llm.content_sort import exact_duplicates
-from quadrille.llm.frames import table
+from quadrille.llm.content_sort import distinct_texts
+from quadrille.llm.frames import partitions, table
 from quadrille.llm.language_masks import keep_identified
 from quadrille.llm.minmax_dedup import near_duplicates
 from quadrille.llm.queries import BYTE_BPE, quality_of
 from quadrille.plans.materialize import checkpointed
 
-_ROW = "_row"
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, and the key's name; ids may repeat or be null.
 
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of each row, kept in a checkpoint; ids may repeat or be null."""
-    return checkpointed(docs.withColumn(_ROW, F.monotonically_increasing_id()))
+    The rows are dealt by the key before they are stored, so later joins on it move keys
+    only, never texts.
+    """
+    key = "row"
+    while key.lower() in map(str.lower, docs.columns):
+        key += "_"
+    numbered = docs.withColumn(key, F.monotonically_increasing_id())
+    dealt = numbered.repartition(partitions(docs.sparkSession), key).sortWithinPartitions(key)
+    return checkpointed(dealt), key
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,34 +36,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely poor than good, by their text and their site, go."""
-    rows = _keyed(docs)
-    kept = quality_of(rows, table(spark, sf_dir, "labels"), _ROW).where("kept").select(_ROW)
-    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
+    rows, key = _keyed(docs)
+    kept = quality_of(rows, table(spark, sf_dir, "labels"), key).where("kept").select(key)
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of equal texts stays, one with the largest id; a null id only if all are null."""
-    rows = _keyed(docs)
-    best = exact_duplicates(rows, keep="largest").where("kept or keep_id is null").select(
-        F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_digest")
-    ).distinct()
-    own = rows.select(_ROW, "doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("_digest"))
-    first = best.join(own, "_digest").where(F.col("doc_id").eqNullSafe(F.col("_keep"))).groupBy("_digest").agg(
-        F.min(_ROW).alias(_ROW)
-    )
-    return rows.join(first.select(_ROW), _ROW, "left_semi").select(*docs.columns)
+    return distinct_texts(docs, keep="largest")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays, one with the smallest id; a null id only if all are null."""
-    rows = _keyed(docs)
-    groups = near_duplicates(rows, id_col=_ROW).select(_ROW, "component_id").join(rows.select(_ROW, "doc_id"), _ROW)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", _ROW)
-    kept = groups.groupBy("component_id").agg(F.min_by(_ROW, order).alias(_ROW)).select(_ROW)
-    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
+    rows, key = _keyed(docs)
+    groups = near_duplicates(rows, id_col=key).select(key, "component_id").join(rows.select(key, "doc_id"), key)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    kept = groups.groupBy("component_id").agg(F.min_by(key, order).alias(key)).select(key)
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens: one row for every piece of a document."""
     return pack_documents(docs, BYTE_BPE)
 
 
@@ -70,6 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other on the table ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

@@ -28,7 +28,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 #: Size estimates with more bits than this say nothing about the data any more.
-_ESTIMATE_BITS = 48
+_ESTIMATE_BITS = 56
 
 
 def size_estimate_bits(df: DataFrame) -> int:
@@ -41,7 +41,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     A checkpoint keeps the size estimate of the plan it cuts, and each join multiplies
     estimates, so in an iteration they grow to numbers that the planner spends its time
-    on.  An estimate beyond 2 ** 48 is dropped: the plan starts afresh from the stored rows.
+    on.  An estimate beyond 2 ** 56 is dropped: the plan starts afresh from the stored rows.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
