@@ -51,6 +51,40 @@ def small_batches(spark: SparkSession, rows: int = 64) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: Rows of one key that a join leaves together, and most keys above it.
+_HOT, _MOST_HOT = 500, 1_000_000
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, row: str, how: str = "inner") -> DataFrame:
+    """``many`` joined with ``one`` on ``key``; the rows of a frequent key are dealt to parts by ``row``.
+
+    The list of frequent keys has ``_MOST_HOT`` rows at most, so it is broadcast.
+    """
+    counts = checkpointed(many.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _HOT))
+    limit = max(_HOT, -(-(counts.agg(F.sum("n")).first()[0] or 0) // _MOST_HOT))
+    hot = checkpointed(counts.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).alias("_parts")))
+    if hot.isEmpty():
+        return many.join(one, key, how)
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+    dealt = many.join(F.broadcast(hot), key, "left").withColumn("_part", F.pmod(F.xxhash64(row), parts)).drop("_parts")
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    return dealt.join(one.join(F.broadcast(hot), key, "left").withColumn("_part", copies).drop("_parts"), [key, "_part"], how).drop("_part")
+
+
+def stored_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key``, sorted by it and stored; later joins on ``key`` leave its rows where they are.
+
+    An adaptive plan doesn't tell how its result is partitioned, so this step has a fixed one.
+    """
+    spark, name = df.sparkSession, "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return checkpointed(df.repartition(partitions(spark), key).sortWithinPartitions(key))
+    finally:
+        spark.conf.set(name, before)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(id, component_id)`` of every id in ``links(a, b)`` that isn't the smallest of its component.
 

@@ -22,12 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.llm.frames import components, slices, small_batches
+from quadrille.llm.frames import components, slices, small_batches, spread_join
 from quadrille.llm.words import shingles
 from quadrille.plans.materialize import checkpointed
 
 BANDS, ROWS = 30, 4
-_BLOCK = 32
+#: Documents of a block on average; a longer one counts once for every ``_LONG`` shingles.
+_BLOCK, _LONG = 32, 4096
 _RNG = np.random.Generator(np.random.PCG64(7))
 _ODD = _RNG.integers(0, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -116,30 +117,36 @@ def _open_links(member: DataFrame, label: DataFrame, sets: DataFrame, percent: i
     one, are compared with everything in it, block against block.
     """
     comp = label.select(F.col("id").alias("rep"), F.col("component_id").alias("comp"))
-    met = member.groupBy("rep").agg(F.min("hub").alias("hub"))
-    at = (
-        met.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        .join(comp.select(F.col("rep").alias("hub"), F.col("comp").alias("g")), "hub", "left")
-        .select("rep", "comp", F.coalesce("g", "hub").alias("g"))
-    )
+    units = F.ceil(F.max("n") / _LONG).alias("units")
+    met = member.groupBy("rep").agg(F.min("hub").alias("hub"), units)
+    met = met.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    of_hub = comp.select(F.col("rep").alias("hub"), F.col("comp").alias("g"))
+    at = spread_join(met, of_hub, "hub", "rep", "left").select("rep", "comp", "units", F.coalesce("g", "hub").alias("g"))
     at = checkpointed(at)
-    crowd = at.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = crowd.groupBy("g").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("size"))
-    own = at.join(main, "g").where("comp != main").select("g", "rep", "comp")
+    crowd = at.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("units").alias("units"))
+    main = crowd.groupBy("g").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("units").alias("size"))
+    main = checkpointed(main)
+    own = spread_join(at, main.select("g", "main"), "g", "rep").where("comp != main").select("g", "rep", "comp", "units")
     # buckets that join two gatherings
     held = member.select("key", "rep").join(at, "rep")
     sides = held.groupBy("key", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     several = sides.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("key")
     other = sides.join(several, "key", "left_semi").select("key", F.col("g").alias("to"), "lo", "hi")
     guests = (
-        held.join(other, "key").where("to < g and not (lo = comp and hi = comp)")
-        .select(F.col("to").alias("g"), "rep", "comp").distinct()
+        spread_join(held, other, "key", "rep").where("to < g and not (lo = comp and hi = comp)")
+        .select(F.col("to").alias("g"), "rep", "comp", "units").distinct()
     )
     ask = checkpointed(own.unionByName(guests))
-    asked = ask.groupBy("g").agg(F.count(F.lit(1)).alias("asking")).join(main.select("g", "size"), "g")
-    left = _blocks(ask.join(asked.select("g", F.col("asking").alias("size")), "g"), sets)
-    right = _blocks(at.join(asked.select("g", "size"), "g"), sets)
-    met_blocks = left.select("g", F.col("docs").alias("p")).join(right.select("g", F.col("docs").alias("q")), "g")
+    asked = ask.groupBy("g").agg(F.sum("units").alias("asking")).join(main.select("g", "size"), "g")
+    asked = checkpointed(
+        asked.select("g", *(F.ceil(F.col(c) / _BLOCK).alias(n) for c, n in (("asking", "left"), ("size", "right"))))
+    )
+    left = _blocks(spread_join(ask, asked, "g", "rep"), "left", sets)
+    right = _blocks(spread_join(at, asked, "g", "rep"), "right", sets)
+    # each pair of blocks has a key of its own
+    left = left.select("g", F.col("docs").alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("right") - 1)).alias("q_number"))
+    right = right.select("g", F.col("docs").alias("q"), F.col("number").alias("q_number"))
+    met_blocks = left.join(right, ["g", "q_number"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +160,13 @@ def _open_links(member: DataFrame, label: DataFrame, sets: DataFrame, percent: i
     return met_blocks.select("p", "q").mapInArrow(run, "a long, b long")
 
 
-def _blocks(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``g, docs``: the documents of every gathering dealt to blocks of about ``_BLOCK``, with their sets."""
-    number = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / _BLOCK))
-    full = docs.select("g", "rep", "comp", number.alias("number")).join(sets.withColumnRenamed("id", "rep"), "rep")
-    return full.groupBy("g", "number").agg(F.collect_list(F.struct("rep", "comp", "shingles")).alias("docs"))
+def _blocks(docs: DataFrame, blocks: str, sets: DataFrame) -> DataFrame:
+    """``g, number, right, docs``: the documents of every gathering dealt to so many blocks, with their sets."""
+    number = F.pmod(F.xxhash64("rep"), F.col(blocks))
+    full = docs.select("g", "rep", "comp", "right", number.alias("number")).join(sets.withColumnRenamed("id", "rep"), "rep")
+    return full.groupBy("g", "number").agg(
+        F.first("right").alias("right"), F.collect_list(F.struct("rep", "comp", "shingles")).alias("docs")
+    )
 
 
 def _block_links(p: pa.StructArray, q: pa.StructArray, percent: int) -> list[tuple[int, int]]:

@@ -8,6 +8,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
+from quadrille.llm import frames, minmax_dedup
 from quadrille.llm.balanced_shards import propagate, shard_documents
 from quadrille.llm.content_sort import distinct_texts, exact_duplicates
 from quadrille.llm.frames import components
@@ -63,6 +64,30 @@ def test_near_copies_equal_brute_force(docs, texts):
     assert got == brute(texts)
 
 
+def test_frequent_keys_change_nothing(docs, monkeypatch):
+    monkeypatch.setattr(frames, "_HOT", 3)
+    monkeypatch.setattr(minmax_dedup, "_BLOCK", 4)
+    texts = family(8, 2, 40) + family(3, 3, 6)
+    assert {r[0]: tuple(r)[1:] for r in near_duplicates(docs(texts)).collect()} == brute(texts)
+
+
+def test_spread_join(spark, monkeypatch):
+    monkeypatch.setattr(frames, "_HOT", 10)
+    many = spark.range(300).selectExpr("id as rep", "if(id % 3 = 0, -1, id % 50) as k")
+    one = spark.range(-1, 20).selectExpr("id as k", "id * 2 as v")
+    for how in ("inner", "left"):
+        got = frames.spread_join(many, one, "k", "rep", how).select("k", "rep", "v")
+        assert sorted(got.collect(), key=str) == sorted(many.join(one, "k", how).select("k", "rep", "v").collect(), key=str)
+
+
+def test_stored_rows_stay_where_they_are(spark):
+    rows = frames.stored_by(spark.range(1000).withColumn("text", F.lit("x")), "id")
+    few = spark.range(100).groupBy((F.col("id") * 3).alias("id")).count().select("id")
+    plan = rows.join(few, "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    stored = next(line for line in plan.splitlines() if "ExistingRDD" in line)
+    assert "text" in stored and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_shingles_of_slices_agree():
     import pyarrow as pa
 
