@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from quadrille.llm.best_fit import pack_documents
 from quadrille.llm.content_sort import distinct_texts
-from quadrille.llm.frames import partitions, table
+from quadrille.llm.frames import stored_by, table
 from quadrille.llm.language_masks import keep_identified
 from quadrille.llm.minmax_dedup import near_duplicates
 from quadrille.llm.queries import BYTE_BPE, quality_of
-from quadrille.plans.materialize import checkpointed
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a key of each row, and the key's name; ids may repeat or be null.
@@ -24,9 +23,7 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     key = "row"
     while key.lower() in map(str.lower, docs.columns):
         key += "_"
-    numbered = docs.withColumn(key, F.monotonically_increasing_id())
-    dealt = numbered.repartition(partitions(docs.sparkSession), key).sortWithinPartitions(key)
-    return checkpointed(dealt), key
+    return stored_by(docs.withColumn(key, F.monotonically_increasing_id()), key), key
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
