@@ -6,10 +6,13 @@ blocks of few dimensions.  Two vectors within squared distance ``t`` are within
 coordinates of a block fall into cells, a vector stands in all cells that its box
 touches, and the vectors of a cell are compared.  The union over blocks misses nothing.
 
-A cell's vectors are dealt to chunks; a row holds two chunks, products are taken at once
-and verified one by one.  A pair counts once: in its first block within budget, in the
-first cell both stand in.  Only counts and one link for each vector leave the task, never
-the pairs.  Equal vectors are one class from the start.
+A cell's vectors are dealt to chunks; a row holds two chunks, each pair of chunks with a key
+of its own.  In a chunk the vectors are ordered by further coordinates of the block into
+small tiles; tiles whose boxes are further apart than the budget are skipped, and of the
+others only pairs within the block's budget become candidates, which are verified one by
+one.  A pair counts once: in its first block within budget, in the first cell both stand
+in.  Only counts and one link for each vector leave the task, never the pairs.  Equal
+vectors are one class from the start.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from pyspark.sql import functions as F
 from quadrille.llm.frames import components, small_batches
 from quadrille.plans.materialize import checkpointed
 
-BLOCK_DIMS, CELL_DIMS, CHUNK = 8, 3, 256
+BLOCK_DIMS, CELL_DIMS, CHUNK = 8, 3, 1024
+_TILE, _SLABS = 32, 4  # vectors of a tile; slabs on each of the ordering coordinates
 _ROTATIONS: dict[int, np.ndarray] = {}
 
 
@@ -97,27 +101,64 @@ def _compare(cosine: float):
     return run
 
 
+def _tiles(x: np.ndarray) -> np.ndarray:
+    """Row numbers in tiles of ``_TILE``, neighbours on the coordinates behind the cell's; -1 fills the last tiles up."""
+    n, order = len(x), np.arange(len(x))
+    axes = range(CELL_DIMS, min(x.shape[1], CELL_DIMS + 3))
+    size = n
+    groups = [order]
+    for axis in axes:
+        if size <= _TILE:
+            break
+        groups = [g for part in groups for g in np.array_split(part[np.argsort(x[part, axis], kind="stable")], _SLABS)]
+        size = -(-size // _SLABS)
+    out = []
+    for g in groups:
+        padded = np.full(-(-len(g) // _TILE) * _TILE, -1)
+        padded[: len(g)] = g
+        out.append(padded)
+    return np.concatenate(out).reshape(-1, _TILE)
+
+
+def _close(p: np.ndarray, q: np.ndarray, budget: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within ``budget`` of squared distance, found tile by tile; ``same``: each pair once."""
+    tiles = [_tiles(x) for x in (p, q)]
+    points = [np.where(t[:, :, None] < 0, np.inf, x[t]) for t, x in zip(tiles, (p, q), strict=True)]
+    low = [x.min(1) for x in points]
+    high = [np.where(np.isinf(x), -np.inf, x).max(1) for x in points]
+    gap = np.maximum(0, np.maximum(low[0][:, None] - high[1][None], low[1][None] - high[0][:, None]))
+    near = np.argwhere((gap**2).sum(2) <= budget)
+    if same:
+        near = near[near[:, 0] <= near[:, 1]]
+    filled = [np.where(np.isinf(x), s * 1e9, x) for x, s in zip(points, (1, -1), strict=True)]
+    square = [(x * x).sum(2) for x in filled]
+    for k in range(0, len(near), 64):
+        a, b = near[k : k + 64].T
+        d = square[0][a][:, :, None] + square[1][b][:, None, :] - 2 * filled[0][a] @ filled[1][b].transpose(0, 2, 1)
+        t, i, j = np.nonzero(d <= budget + 1e-9)
+        i, j, diagonal = tiles[0][a[t], i], tiles[1][b[t], j], a[t] == b[t]
+        once = ~diagonal | (i < j) if same else slice(None)
+        yield i[once], j[once]
+
+
 def _chunk_links(
     block: int, cell: np.ndarray, same: bool, p: pa.StructArray, q: pa.StructArray, cosine: float
 ) -> tuple[list, list, list]:
     """For each vector with links between the chunks: id, number of links, smallest id it is connected with here."""
     ids, many, low, x = zip(*(_arrays(c) for c in (p, q)), strict=True)
     length = [np.linalg.norm(v, axis=1) for v in x]
-    unit = [v / n[:, None] for v, n in zip(x, length, strict=True)]
-    close = unit[0] @ unit[1].T >= cosine - 1e-9
-    if same:
-        close = np.triu(close, 1)
     dims = x[0].shape[1]
-    turned, budget = [u @ rotation(dims) for u in unit], _budget(dims, cosine)
-    pairs = np.argwhere(close)
+    turned = [v / n[:, None] @ rotation(dims) for v, n in zip(x, length, strict=True)]
+    bounds, budget = _bounds(dims), _budget(dims, cosine)
+    a, b = bounds[block]
     linked = []
-    for k in range(0, len(pairs), 1 << 14):
-        i, j = pairs[k : k + (1 << 14)].T
-        ok = np.sum(x[0][i] * x[1][j], axis=1) / (length[0][i] * length[1][j]) >= cosine
-        ok &= (np.maximum(low[0][i], low[1][j]) == cell).all(1)
+    for i, j in _close(turned[0][:, a:b], turned[1][:, a:b], budget, same):
+        ok = (np.maximum(low[0][i], low[1][j]) == cell).all(1)
+        i, j = i[ok], j[ok]
         gap = (turned[0][i] - turned[1][j]) ** 2
-        within = np.stack([gap[:, a:b].sum(1) <= budget for a, b in _bounds(dims)])
-        ok &= within.any(0) & (within.argmax(0) == block)
+        within = np.stack([gap[:, c:d].sum(1) <= budget for c, d in bounds])
+        ok = within.any(0) & (within.argmax(0) == block)
+        ok &= np.sum(x[0][i] * x[1][j], axis=1) / (length[0][i] * length[1][j]) >= cosine
         linked.append(np.stack((i[ok], j[ok])))
     i, j = np.concatenate(linked, axis=1) if linked else np.zeros((2, 0), np.int64)
     if not len(i):
@@ -148,8 +189,9 @@ def near_vectors(
 
     Vectors of equal, non-null label and equal length are linked when their cosine, in
     double precision, is ``cosine`` (over 0) or more.  Null, empty or zero vectors and those with a
-    null or non-finite component are linked with nothing.  Rows with the same id and
-    vector are copies of each other; other columns are ignored.  Empty input: no rows.
+    null or non-finite component are linked with nothing; so is a row with a null id, which
+    is not compared.  Rows with the same id and vector are copies of each other; other
+    columns are ignored.  Empty input: no rows.
     """
     source = rows.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
@@ -181,16 +223,21 @@ def near_vectors(
     key = ["label", "dims", "block", "cell"]
     placed = checkpointed(placed)
     crowd = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
-    number = F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / CHUNK)).alias("number")
-    chunks = (
-        placed.join(crowd, key).select(*key, number, F.struct("id", "many", "low", "vector").alias("row"))
-        .groupBy(*key, "number").agg(F.collect_list("row").alias("rows"))
-    )
-    q = chunks.select(*key, F.col("number").alias("other"), F.col("rows").alias("q"))
-    met = chunks.join(q, key).where("number <= other").select(
-        "block", "cell", (F.col("number") == F.col("other")).alias("same"), F.col("rows").alias("p"), "q"
+    parts = F.ceil(F.col("crowd") / CHUNK)
+    chunks = checkpointed(
+        placed.join(crowd, key).select(
+            *key, parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).alias("number"),
+            F.struct("id", "many", "low", "vector").alias("row"),
+        )
+        .groupBy(*key, "number").agg(F.first("parts").alias("parts"), F.collect_list("row").alias("rows"))
     )
-    with small_batches(rows.sparkSession):
+    zero, last = F.lit(0).cast("long"), F.col("parts") - 1
+    p = chunks.select(*key, "number", F.explode(F.sequence(F.col("number"), last)).alias("other"), F.col("rows").alias("p"))
+    q = chunks.select(*key, F.explode(F.sequence(zero, F.col("number"))).alias("number"), F.col("number").alias("other"), F.col("rows").alias("q"))
+    met = p.join(q, [*key, "number", "other"]).select(
+        "block", "cell", (F.col("number") == F.col("other")).alias("same"), "p", "q"
+    )
+    with small_batches(rows.sparkSession, 16):
         found = checkpointed(met.mapInArrow(_compare(cosine), "id long, n long, root long"))
         label = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     totals = found.groupBy("id").agg(F.sum("n").alias("n"))

@@ -1,11 +1,12 @@
 """Language, quality, licences, pages."""
 
 import random
+import time
 import zlib
 
 import pytest
 from quadrille.llm import license_scan as L
-from quadrille.llm.block_rules import extract, main_text
+from quadrille.llm.block_rules import Block, Rules, extract, first_pass, main_text, second_pass
 from quadrille.llm.language_masks import keep_identified, predict
 from quadrille.llm.site_quality import score
 from pyspark.sql import functions as F
@@ -134,6 +135,55 @@ def test_main_text(page, text):
     assert main_text(page or "") == text
 
 
+POLISH = "Wczoraj wieczorem mieszkańcy miasteczka zebrali się przed ratuszem, żeby wspólnie obejrzeć pokaz dawnych rzemiosł i posłuchać opowieści starszych sąsiadów przy ognisku"
+ENGLISH = "It was the end of the day, and the people of the town were on their way to the river for the first time in years."
+LINKS = "<ul><li><a href=a>Home</a></li><li><a href=b>All the news of the day that is in the paper</a></li></ul>"
+
+
+@pytest.mark.parametrize("prose", [POLISH, ENGLISH, "会议昨天在北京举行，来自各地的代表讨论了未来几年的计划和预算，并就教育、交通与环境等问题交换了意见。" * 2])
+@pytest.mark.parametrize("frame", ["<div>{}</div>", "<td>{}", "<article>{}</article>", "{}"])
+def test_prose_without_help_of_tags(prose, frame):
+    page = LINKS + frame.format(f"<h2>Title</h2><p>{prose}</p><p>Short one.</p>") + "<footer>(c) " + ENGLISH + "</footer>"
+    assert main_text(page) == f"Title\n\n{prose}\n\nShort one."
+
+
+def test_densities_judge_inside_an_article_too():
+    page = f"<article><p>{ENGLISH}</p>{LINKS}<p>{ENGLISH}</p></article>"
+    assert main_text(page) == f"{ENGLISH}\n\n{ENGLISH}"
+
+
+def test_points_of_the_first_pass():
+    few = " ".join(["keyword"] * 12)
+    found = [Block(ENGLISH, "p", 0, False, False), Block(few, "p", 0, False, False), Block(few, "p", 0, False, True),
+             Block("Short one", "p", 0, False, False), Block(ENGLISH, "p", 0, True, False), Block(ENGLISH, "p", 100, False, True)]
+    assert first_pass(found, Rules()) == [True, False, None, None, False, False]
+    assert first_pass(found[1:3], Rules()) == [None, True]  # no stop words at all: the language is not listed
+
+
+def test_second_pass_equals_a_plain_search():
+    r = random.Random(3)
+    for _ in range(2000):
+        first = [r.choice([True, False, None, None, None]) for _ in range(r.randint(0, 12))]
+        heads = [r.random() < 0.3 for _ in first]
+        for i, good in enumerate(second_pass(first, heads)):
+            known = [j for j, x in enumerate(first) if x is not None]
+            near = [j for j in known if abs(i - j) == min(abs(i - k) for k in known)]
+            if not known:
+                want = True
+            elif len(near) == 1 or first[near[0]] == first[near[1]]:
+                want = first[near[0]]
+            else:
+                want = first[max(near)] if heads[i] else False
+            assert good == want
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<a '", '<a "', "<a>x", "<table><i></p>", "<p><i>", "<script>", "<!--", "</div>", "<", "<svg/>", "<a b='>'", "<a x>'"])
+def test_long_odd_pages_take_little_time(piece):
+    began = time.process_time()
+    main_text(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - began < 6
+
+
 def test_pages_as_frame(spark):
     rows = [(i, None if i == 2 else f"u{i}", p, "t") for i, (p, _) in enumerate(PAGES)] + [(None, None, None, None), (0, "u0", None, "t")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -1,4 +1,5 @@
 import numpy as np
+from quadrille.llm import subspace_join as sj
 from quadrille.llm.subspace_join import near_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, n long, id string"
@@ -54,3 +55,23 @@ def test_copies_and_odd_vectors(spark):
     rows += [([float("nan"), 1.0, 1.0], 1), ([float("inf"), 1.0, 1.0], 1), ([1e30, 2e30, 3e30], 1), ([1e-30, 2e-30, 3e-30], 1)]
     check(spark, rows)
     check(spark, [])
+
+
+def test_few_pairs_become_candidates_and_none_is_missed():
+    r = np.random.default_rng(4)
+    x = r.normal(size=(3000, 64))
+    x[1500:1600] = x[:100] + r.normal(scale=0.01, size=(100, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turned, budget = x @ sj.rotation(64), sj._budget(64, 0.98)
+    all_pairs, seen = len(x) * (len(x) - 1) // 2, set()
+    for a, b in sj._bounds(64):
+        own = turned[:, a:b]
+        exact = np.triu(((own[:, None, :4] - own[None, :, :4]) ** 2).sum(2) <= budget, 1)
+        exact &= ((own[:, None, 4:] - own[None, :, 4:]) ** 2).sum(2) + ((own[:, None, :4] - own[None, :, :4]) ** 2).sum(2) <= budget
+        got = [(min(i, j), max(i, j)) for p, q in sj._close(own, own, budget, True) for i, j in zip(p.tolist(), q.tolist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == set(map(tuple, np.argwhere(exact).tolist()))
+        half = [(i, j + 1500) for p, q in sj._close(own[:1500], own[1500:], budget, False) for i, j in zip(p.tolist(), q.tolist(), strict=True)]
+        assert set(half) == {(i, j) for i, j in got if i < 1500 <= j}
+        seen |= set(got)
+    assert {(i, i + 1500) for i in range(100)} <= seen
+    assert len(seen) < 0.05 * all_pairs
