@@ -2,7 +2,7 @@
 
 The lower chain is cut into pockets, each between two points known to be on or
 next to the chain; a pocket keeps only points that are not surely above its
-chord.  Crowded pockets are cut again at the point farthest below the chord.  The
+chord.  Crowded pockets are cut again at several points far below chords.  The
 upper chain is the lower chain of the mirrored points (``v = side * y``).
 
 Cut points are chosen with doubles, so the chain is checked exactly where two
@@ -23,6 +23,7 @@ from . import grid
 from .materialize import checkpointed
 
 _BROADCAST_ROWS = 200_000
+_PIECES = 8  # parts of a crowded pocket, by quantiles of x
 _ENDS = ("ax", "av", "bx", "bv")
 _CHAIN = "side int, pocket long, ax double, av double, seq long, x double, v double, nx double, nv double"
 _WIDER = 1e-14
@@ -56,37 +57,79 @@ def _mirrored(points: DataFrame) -> DataFrame:
     return _keep(first.withColumn("pocket", F.lit(1).cast("long")))
 
 
+def _lowest(hot: DataFrame, chords: int) -> DataFrame:
+    """``side, pocket, cuts``: points of each pocket known to be on or next to the chain, by x.
+
+    The lowest point below the chord is taken in each of ``chords - 1`` parts of about as
+    many points; then the point farthest below each chord between neighbours of these.
+    """
+    key = ["side", "pocket"]
+    part = F.size(F.filter("at", lambda a: a < F.col("x")))
+    low = hot.groupBy(*key, part.alias("part")).agg(F.min(F.struct("det", "x", "v")).alias("s")).where("s.det < 0")
+    low = low.groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct("s.x", "s.v"))).alias("stops"),
+        F.min("s").alias("best"),
+    )
+    a, b = (F.struct(F.col(f"{e}x").alias("x"), F.col(f"{e}v").alias("v")) for e in "ab")
+    line = hot.join(low, key).withColumn("line", F.concat(F.array(a), "stops", F.array(b)))
+    below = []
+    for i in range(chords):
+        begin, end = F.get("line", F.lit(i)), F.get("line", F.lit(i + 1))
+        det, _ = _below(begin["x"], begin["v"], end["x"], end["v"])
+        below.append(F.min(F.when(det < 0, F.struct(det.alias("det"), "x", "v"))).alias(f"e{i}"))
+    ends = [F.first(c).alias(c) for c in ("ax", "bx", "best")]
+    point = [F.struct(F.col(f"{e}.x").alias("x"), F.col(f"{e}.v").alias("v")) for e in ("best", *(f"e{i}" for i in range(chords)))]
+    found = line.groupBy(*key).agg(*below, *ends).select(*key, "ax", "bx", F.sort_array(F.array(*point)).alias("p"))
+    inside = F.filter("p", lambda q: (q["x"] > F.col("ax")) & (q["x"] < F.col("bx")))
+    found = found.select(*key, inside.alias("p"))
+    lowest_at_x = F.filter("p", lambda q, i: (i == 0) | (q["x"] != F.get("p", i - 1)["x"]))
+    return found.select(*key, lowest_at_x.alias("cuts"))
+
+
 def _cut(points: DataFrame, one_task: int) -> DataFrame:
-    """Cut pockets until none holds more than ``one_task`` points."""
+    """Cut pockets until none holds more than ``one_task`` points.
+
+    A round cuts a pocket in up to ``_PIECES + 2`` places, chosen by quantiles of x, so the
+    number of rounds grows with the logarithm of the points.
+    """
+    key = ["side", "pocket"]
     left = checkpointed(_mirrored(points))
     done: DataFrame | None = None
+    free = 2  # the first number that no pocket has had
+    shares = F.array(*(F.lit(i / _PIECES) for i in range(1, _PIECES)))
     while True:
         hot = checkpointed(
-            left.groupBy("side", "pocket")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("det", "x", "v")).alias("s"))
-            .where((F.col("n") > one_task) & (F.col("s.det") < 0))
-            .select("side", "pocket", F.col("s.x").alias("sx"), F.col("s.v").alias("sv"))
+            left.groupBy(*key)
+            .agg(F.count(F.lit(1)).alias("n"), F.min("det").alias("lowest"), F.percentile_approx("x", shares, 1000).alias("at"))
+            .where((F.col("n") > one_task) & (F.col("lowest") < 0))
+            # one row per crowded pocket: their number is bounded by survivors / one_task
+            .select(*key, "at", (F.row_number().over(Window.orderBy(*key)) - 1).alias("place"))
         )
         found = hot.count()
         if found == 0:
             return left if done is None else done.unionByName(left)
-        if found <= _BROADCAST_ROWS:
-            hot = F.broadcast(hot)
-        cool = left.join(hot, ["side", "pocket"], "left_anti")
+        small = F.broadcast if found <= _BROADCAST_ROWS else (lambda df: df)
+        cool = left.join(small(hot.select(*key)), key, "left_anti")
         done = cool if done is None else done.unionByName(cool)
-        first = F.col("x") <= F.col("sx")
+        inside = left.join(small(hot), key)
+        cuts = checkpointed(_lowest(inside, _PIECES + 1))
+        a, b = (F.struct(F.col(f"{e}x").alias("x"), F.col(f"{e}v").alias("v")) for e in "ab")
+        step = _PIECES + 4
+        rows = inside.drop("at").join(small(cuts), key).select(
+            "side", "x", "v", (free + F.col("place") * step).cast("long").alias("first"),
+            F.concat(F.array(a), "cuts", F.array(b)).alias("line"),
+            F.size(F.filter("cuts", lambda c: c["x"] < F.col("x"))).alias("j"),
+        )
+        begin, end = F.get("line", F.col("j")), F.get("line", F.col("j") + 1)
         left = checkpointed(
             _keep(
-                left.join(hot, ["side", "pocket"]).select(
-                    "side", "x", "v",
-                    (F.col("pocket") * 2 + F.when(first, 0).otherwise(1)).alias("pocket"),
-                    F.when(first, F.col("ax")).otherwise(F.col("sx")).alias("ax"),
-                    F.when(first, F.col("av")).otherwise(F.col("sv")).alias("av"),
-                    F.when(first, F.col("sx")).otherwise(F.col("bx")).alias("bx"),
-                    F.when(first, F.col("sv")).otherwise(F.col("bv")).alias("bv"),
+                rows.select(
+                    "side", "x", "v", (F.col("first") + F.col("j")).alias("pocket"),
+                    begin["x"].alias("ax"), begin["v"].alias("av"), end["x"].alias("bx"), end["v"].alias("bv"),
                 )
             )
         )
+        free += found * step
 
 
 def _chain_of(pdf: pd.DataFrame) -> pd.DataFrame:

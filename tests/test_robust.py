@@ -1,5 +1,6 @@
 """Layouts, ids and points that once made wrong answers or all pairs."""
 
+import time
 import math
 import random
 
@@ -102,3 +103,11 @@ def test_broadcast_has_a_bound():
         assert sj.side_to_broadcast("broadcast", SimpleNamespace(query_cells=cells), still, None) == side
     with pytest.raises(ValueError):
         sj.side_to_broadcast("other", SimpleNamespace(query_cells=1), still, None)
+
+
+def test_pockets_of_points_that_crowd_together(spark):
+    rows = [(2.0**-k, 4.0**-k) for k in range(100)]
+    began = time.time()
+    got = {tuple(r) for r in qd.convex_hull(spark.createDataFrame(rows, "x double, y double"), one_task=3).collect()}
+    assert got == set(rows)
+    assert time.time() - began < 60
