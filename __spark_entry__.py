@@ -81,6 +81,21 @@ def qr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rects(df, "s_suppkey", 53, 10007, F.lit(90), F.lit(2500000))
 
 
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target rectangles whose width and height take all powers of two up to 2 ** 11 and 2 ** 26."""
+    return tr(spark, sf_dir).selectExpr(
+        "id", "x1", "y1", "x1 + pow(2.0D, id % 12) AS x2", "y1 + pow(2.0D, id * 7 % 27) AS y2"
+    )
+
+
+def outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target rectangles, the first of them larger than everything else together."""
+    return tr(spark, sf_dir).selectExpr(
+        "id", "IF(id = 1, -1e9D, x1) AS x1", "IF(id = 1, -1e12D, y1) AS y1",
+        "IF(id = 1, 1e9D, x2) AS x2", "IF(id = 1, 1e12D, y2) AS y2",
+    )
+
+
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query rectangles that overlap a lot, every one seven times wider and higher."""
     return qr(spark, sf_dir).select(
@@ -248,6 +263,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_points_shuffle": lambda s, d: qd.spatial_join(pts(s, d), qr(s, d), strategy="shuffle"),
         "join_rects": lambda s, d: qd.spatial_join(tr(s, d), qr(s, d)),
         "join_rects_shuffle": lambda s, d: qd.spatial_join(tr(s, d), qr(s, d), strategy="shuffle"),
+        "join_rects_mixed": lambda s, d: qd.spatial_join(mixed(s, d), qr(s, d)),
+        "join_rects_outlier": lambda s, d: qd.spatial_join(outlier(s, d), qr(s, d)),
         "join_rects_self": lambda s, d: qd.spatial_join(tr(s, d), tr(s, d)),
         "join_left_pairs": lambda s, d: qd.spatial_join(tr(s, d), qr(s, d), how="left"),
         "join_left": lambda s, d: _lists_as_text(
@@ -410,6 +427,12 @@ def oracle_sql() -> dict[str, str]:
         "join_points_shuffle": join_points,
         "join_rects": join_rects,
         "join_rects_shuffle": join_rects,
+        "join_rects_mixed": f"WITH {_TR}, {_QR}, mixed AS (SELECT id, x1, y1, x1 + pow(2.0, id % 12) AS x2,"
+        f" y1 + pow(2.0, id * 7 % 27) AS y2 FROM tr) SELECT q.id AS qid, t.id AS tid FROM mixed t JOIN qr q ON {_MEET}",
+        "join_rects_outlier": f"WITH {_TR}, {_QR}, outlier AS (SELECT id,"
+        " CASE WHEN id = 1 THEN -1e9 ELSE x1 END AS x1, CASE WHEN id = 1 THEN -1e12 ELSE y1 END AS y1,"
+        " CASE WHEN id = 1 THEN 1e9 ELSE x2 END AS x2, CASE WHEN id = 1 THEN 1e12 ELSE y2 END AS y2 FROM tr)"
+        f" SELECT q.id AS qid, t.id AS tid FROM outlier t JOIN qr q ON {_MEET}",
         "join_rects_self": f"WITH {_TR} SELECT q.id AS qid, t.id AS tid FROM tr t JOIN tr q ON {_MEET}",
         "join_left_pairs": f"WITH {_TR}, {_QR} SELECT q.id AS qid, t.id AS tid"
         f" FROM qr q LEFT JOIN tr t ON {_MEET}",

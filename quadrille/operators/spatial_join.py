@@ -56,6 +56,24 @@ def side_to_broadcast(
     return "targets" if rows <= limit else None
 
 
+def _box_layout(targets: DataFrame, strategy: str, q_ext: grid.Extents) -> tuple[grid.Layout, grid.Extents | None]:
+    """Layout for box targets, and their extents if they had to be measured.
+
+    Few queries are placed on a level for every size that targets may have and sent
+    everywhere, so the targets are read once.  Otherwise the targets that meet the
+    window of the queries are measured first.
+    """
+    if targets.isStreaming:
+        return grid.plan_layout(q_ext, None), None
+    guess = None if strategy == "shuffle" else grid.any_size(q_ext)
+    if guess is not None:
+        layout = grid.plan_layout(q_ext, guess, unmeasured=True)
+        if layout.query_cells <= grid._BROADCAST_ROWS:
+            return layout, None
+    extents = grid.measure(targets, (q_ext.xmin, q_ext.ymin, q_ext.xmax, q_ext.ymax))
+    return grid.plan_layout(q_ext, extents if extents.rows else None), extents if extents.rows else None
+
+
 def matched(
     targets: DataFrame,
     queries: DataFrame,
@@ -71,13 +89,10 @@ def matched(
     number of equal targets a row stands for; a shuffled join then moves every
     distinct target once.
     """
-    t_ext = None if points or targets.isStreaming else grid.measure(targets)
-    if t_ext is not None and t_ext.rows == 0:
-        t_ext = None
     if points:
-        layout = grid.fine_layout(q_ext, _FINER_JOIN)
+        layout, t_ext = grid.fine_layout(q_ext, _FINER_JOIN), None
     else:
-        layout = grid.plan_layout(q_ext, t_ext)
+        layout, t_ext = _box_layout(targets, strategy, q_ext)
     side = side_to_broadcast(strategy, layout, targets, t_ext)
     if weigh:
         if side is None and not targets.isStreaming:

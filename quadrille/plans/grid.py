@@ -10,6 +10,9 @@ box near its level's cell side covers only a few cells.  A pair of boxes meets
 on the coarser of the two levels, per axis, and is emitted only by the cell that
 holds the lower left corner of the common part, so nothing has to be
 de-duplicated.
+
+Expressions are SQL text: a plan of many small columns takes the driver longer to put
+together column by column than Spark needs to run it on a small table.
 """
 
 from __future__ import annotations
@@ -21,7 +24,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import box_of
 from .materialize import checkpointed
 
 # Bits per cell index inside the packed join key: level | cx | cy.  Windows with more cells
@@ -50,31 +52,39 @@ class Extents:
     sizes: list[tuple[int | None, int | None, int]] = field(default_factory=list)
 
 
-def _magnitude(length: Column) -> Column:
-    return F.when(length > 0, F.ceil(F.log2(length)).cast("int"))
+def _num(value: float) -> str:
+    return f"({float(value)!r}D)" if math.isfinite(value) else f"double('{float(value)}')"
+
+
+def _magnitude(length: str) -> str:
+    return f"CASE WHEN {length} > 0 THEN int(ceil(log2({length}))) END"
 
 
-def measure(boxes: DataFrame) -> Extents:
+def _sides(window: tuple[float, float, float, float]) -> tuple[str, str]:
+    """Width and height of the part of a box inside ``window``."""
+    x0, y0, x1, y1 = map(_num, window)
+    return f"(least(xmax, {x1}) - greatest(xmin, {x0}))", f"(least(ymax, {y1}) - greatest(ymin, {y0}))"
+
+
+def measure(boxes: DataFrame, window: tuple[float, float, float, float] | None = None) -> Extents:
     """One aggregation; brings one row per pair of magnitudes to the driver.
 
     The number of rows is bounded by the exponent range of doubles, whatever
-    the size of the table.
+    the size of the table.  With ``window`` only boxes that meet it are read, and
+    the magnitudes are those of their parts inside.
     """
-    b = box_of()
+    width, height = "(xmax - xmin)", "(ymax - ymin)"
+    if window is not None:
+        boxes, (width, height) = meeting(boxes, window), _sides(window)
     rows = (
-        boxes.groupBy(
-            _magnitude(b.xmax - b.xmin).alias("ex"), _magnitude(b.ymax - b.ymin).alias("ey")
-        )
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("xmin").alias("xmin"),
-            F.min("ymin").alias("ymin"),
-            F.max("xmax").alias("xmax"),
-            F.max("ymax").alias("ymax"),
-            F.sum((b.xmax - b.xmin) * (b.ymax - b.ymin)).alias("area"),
-        )
+        boxes.selectExpr("xmin", "ymin", "xmax", "ymax", f"{_magnitude(width)} AS ex", f"{_magnitude(height)} AS ey")
+        .groupBy("ex", "ey")
+        .agg(*map(F.expr, (
+            "count(1) AS n", "min(xmin) AS xmin", "min(ymin) AS ymin", "max(xmax) AS xmax", "max(ymax) AS ymax",
+            "sum((xmax - xmin) * (ymax - ymin)) AS area",
+        )))
         .collect()
-    )
+    )
     ext = Extents()
     for r in rows:
         ext.rows += r.n
@@ -116,14 +126,14 @@ class Layout:
     square: bool = False
     packed: bool = True
 
-    def own_levels(self, width: Column, height: Column) -> tuple[Column, Column]:
+    def own_levels(self, width: str, height: str) -> tuple[str, str]:
         above = []
         for base, length in zip(self.base, (width, height), strict=True):
-            steps = F.floor((_magnitude(length) - self.finer - F.lit(base)) / self.step) * self.step
-            above.append(F.coalesce(F.greatest(F.lit(0), steps.cast("int")), F.lit(0)))
+            steps = f"int(floor((({_magnitude(length)}) - {self.finer + base}) / {self.step}) * {self.step})"
+            above.append(f"coalesce(greatest(0, {steps}), 0)")
         if self.square:
-            above = [F.greatest(*above)] * 2
-        return F.lit(self.base[0]) + above[0], F.lit(self.base[1]) + above[1]
+            above = [f"greatest({above[0]}, {above[1]})"] * 2
+        return f"{self.base[0]} + {above[0]}", f"{self.base[1]} + {above[1]}"
 
 
 def _level(
@@ -170,11 +180,34 @@ def _work(
     return work
 
 
-def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> Layout:
+def any_size(queries: Extents) -> Extents | None:
+    """Stands for boxes that nobody measured: every magnitude the window of the queries has room for.
+
+    Most are taken to be like the queries.  None if doubles have no such magnitudes.
+    """
+    spans = queries.xmax - queries.xmin, queries.ymax - queries.ymin
+    if max(spans) > 2.0**1000:
+        return None
+    rows = 1000 * queries.rows
+    sizes: list[tuple[int | None, int | None, int]] = [(ex, ey, 1000 * n) for ex, ey, n in queries.sizes]
+    for axis, span in enumerate(spans):
+        if span > 0:
+            # one more, as logarithms are rounded
+            top = math.ceil(math.log2(span)) + 1
+            many = range(top - _CELL_BITS - 1, top + 1)
+            sizes += [(None, e, rows // len(many)) if axis else (e, None, rows // len(many)) for e in many]
+    return Extents(rows, queries.xmin, queries.ymin, queries.xmax, queries.ymax, sizes=sizes)
+
+
+def plan_layout(
+    queries: Extents, targets: Extents | None, finer: int = 0, unmeasured: bool = False
+) -> Layout:
     """Choose cell sides from the sizes that occur.
 
     ``finer`` makes cells ``2**finer`` times smaller than the queries.  Without
     ``targets`` (points, streams) the targets are placed on every query level.
+    ``unmeasured``: width and height of the targets are magnitudes that may occur
+    in any combination, so the larger side alone decides.
     """
     span_x, span_y = queries.xmax - queries.xmin, queries.ymax - queries.ymin
 
@@ -203,15 +236,17 @@ def plan_layout(queries: Extents, targets: Extents | None, finer: int = 0) -> La
         )
 
     tries = ((0.05, 2), (0.05, 3), (0.25, 3), (0.5, 3), (0.5, 5), (0.9, 5), (1.0, 5))
+    if unmeasured:  # few queries: more levels cost little, more cells are paid for by every target
+        tries = ((0.05, 1), (0.05, 2), (0.25, 1), (0.5, 1), (0.5, 2), (0.9, 2), (1.0, 2))
     if finer:  # cells grow with the square of the step
         tries = ((0.05, 1), (0.05, 2), (0.25, 2), (0.5, 2), (0.9, 2), (1.0, 2))
     # points are not measured: assume many per query
     ranked = targets or Extents(sizes=[(None, None, 1000 * queries.rows)])
     best = None
     for share, step in tries:
-        base, square = base_for(share), False
+        base, square = base_for(share), unmeasured
         q_levels, t_levels, both = met(base, step, square)
-        if len(both) > _MAX_LEVELS:
+        if len(both) > _MAX_LEVELS and not square:
             # width and height vary on their own: one level for each magnitude of the larger side
             square = True
             q_levels, t_levels, both = met(base, step, square)
@@ -255,20 +290,20 @@ def fine_layout(queries: Extents, finer: range, rows: int = _BROADCAST_ROWS) ->
 
 
 class _Lev(NamedTuple):
-    """Level of a row: literals when there is only one level, else column ``lev``."""
+    """Level of a row: literals when there is only one level, else columns."""
 
-    lid: Column
-    ex: Column
-    ey: Column
+    lid: str
+    ex: str
+    ey: str
 
 
 def _literal_level(layout: Layout, level: tuple[int, int]) -> _Lev:
-    return _Lev(F.lit(layout.levels.index(level)).cast("long"), F.lit(level[0]), F.lit(level[1]))
+    return _Lev(f"{layout.levels.index(level)}L", f"({level[0]})", f"({level[1]})")
 
 
-def _level_struct(layout: Layout, level: tuple[int, int]) -> Column:
-    lev = _literal_level(layout, level)
-    return F.struct(lev.lid.alias("lid"), lev.ex.alias("ex"), lev.ey.alias("ey"))
+def _level_struct(layout: Layout, level: tuple[int, int]) -> str:
+    lid, ex, ey = _literal_level(layout, level)
+    return f"named_struct('lid', {lid}, 'ex', {ex}, 'ey', {ey})"
 
 
 def _with_levels(
@@ -284,33 +319,36 @@ def _with_levels(
     """
     if len(layout.levels) == 1:
         return df, _literal_level(layout, layout.levels[0])
-    lev = _Lev(F.col("lev.lid"), F.col("lev.ex"), F.col("lev.ey"))
+    lev = _Lev("lev.lid", "lev.ex", "lev.ey")
     if own is None:
-        levels = F.array(*(_level_struct(layout, lv) for lv in layout.levels))
-        return df.select("*", F.explode(levels).alias("lev")), lev
-    entries: list[Column] = []
+        levels = ", ".join(_level_struct(layout, lv) for lv in layout.levels)
+        return df.selectExpr("*", f"explode(array({levels})) AS lev"), lev
+    own_x, own_y = layout.own_levels(*_sides(layout.window))
+    df = df.selectExpr("*", f"{own_x} AS own_x", f"{own_y} AS own_y")
+    base_x, base_y = layout.base
+    if layout.square:
+        # one number tells a level: steps above the base, the same on both axes
+        met = ", ".join(f"greatest(own_x - ({base_x}), {x - base_x})" for x, _ in other or [layout.base])
+        df = df.selectExpr("*", f"explode(array_distinct(array({met}))) AS up")
+        return df, _Lev("bigint(up)", f"({base_x} + up)", f"({base_y} + up)")
+    entries = []
     for ox, oy in own:
-        met = sorted({(max(ox, x), max(oy, y)) for x, y in other or [layout.base]})
-        entries += [
-            F.struct(F.lit(ox).alias("own_x"), F.lit(oy).alias("own_y")),
-            F.array(*(_level_struct(layout, lv) for lv in met)),
-        ]
-    b = box_of()
-    own_x, own_y = layout.own_levels(b.xmax - b.xmin, b.ymax - b.ymin)
-    df = df.select("*", own_x.alias("own_x"), own_y.alias("own_y"))
-    levels = F.element_at(F.create_map(*entries), F.struct("own_x", "own_y"))
-    return df.select("*", F.explode(levels).alias("lev")), lev
+        both = sorted({(max(ox, x), max(oy, y)) for x, y in other or [layout.base]})
+        entries.append(f"named_struct('own_x', {ox}, 'own_y', {oy})")
+        entries.append(f"array({', '.join(_level_struct(layout, lv) for lv in both)})")
+    key = "named_struct('own_x', own_x, 'own_y', own_y)"
+    return df.selectExpr("*", f"explode(element_at(map({', '.join(entries)}), {key})) AS lev"), lev
 
 
-def _cell(value: Column, origin: float, exponent: Column) -> Column:
-    return F.floor((value - F.lit(origin)) * F.pow(F.lit(2.0), -exponent.cast("double")))
+def _cell(value: str, origin: float, exponent: str) -> str:
+    return f"floor(({value} - {_num(origin)}) * pow(2.0D, double(-{exponent})))"
 
 
-def _pack(layout: Layout, lev: _Lev, cx: Column, cy: Column) -> Column:
+def _pack(layout: Layout, lev: _Lev, cx: str, cy: str) -> str:
     if not layout.packed:
-        return F.struct(lev.lid.alias("lid"), cx.alias("cx"), cy.alias("cy"))
-    side = F.lit(1 << _PACKED_BITS)
-    return (lev.lid * side + cx) * side + cy
+        return f"named_struct('lid', {lev.lid}, 'cx', {cx}, 'cy', {cy})"
+    side = f"{1 << _PACKED_BITS}L"
+    return f"({lev.lid} * {side} + {cx}) * {side} + {cy}"
 
 
 def _cover(df: DataFrame, layout: Layout, lev: _Lev, clip: bool) -> DataFrame:
@@ -318,17 +356,17 @@ def _cover(df: DataFrame, layout: Layout, lev: _Lev, clip: bool) -> DataFrame:
 
     ``clip`` limits the range to the window of the queries.
     """
-    b, (x0, y0, x1, y1) = box_of(), layout.window
-    lo_x, hi_x = _cell(b.xmin, x0, lev.ex), _cell(b.xmax, x0, lev.ex)
-    lo_y, hi_y = _cell(b.ymin, y0, lev.ey), _cell(b.ymax, y0, lev.ey)
+    x0, y0, x1, y1 = layout.window
+    lo_x, hi_x = _cell("xmin", x0, lev.ex), _cell("xmax", x0, lev.ex)
+    lo_y, hi_y = _cell("ymin", y0, lev.ey), _cell("ymax", y0, lev.ey)
     if clip:
-        lo_x, hi_x = F.greatest(lo_x, F.lit(0)), F.least(hi_x, _cell(F.lit(x1), x0, lev.ex))
-        lo_y, hi_y = F.greatest(lo_y, F.lit(0)), F.least(hi_y, _cell(F.lit(y1), y0, lev.ey))
-    ranged = df.select(
-        "*", lo_x.alias("cx0"), hi_x.alias("cx1"), lo_y.alias("cy0"), hi_y.alias("cy1"),
-        F.explode(F.sequence(lo_x, hi_x)).alias("cx"),
+        lo_x, hi_x = f"greatest({lo_x}, 0L)", f"least({hi_x}, {_cell(_num(x1), x0, lev.ex)})"
+        lo_y, hi_y = f"greatest({lo_y}, 0L)", f"least({hi_y}, {_cell(_num(y1), y0, lev.ey)})"
+    ranged = df.selectExpr(
+        "*", f"{lo_x} AS cx0", f"{hi_x} AS cx1", f"{lo_y} AS cy0", f"{hi_y} AS cy1",
+        f"explode(sequence({lo_x}, {hi_x})) AS cx",
     )
-    return ranged.select("*", F.explode(F.sequence("cy0", "cy1")).alias("cy"))
+    return ranged.selectExpr("*", "explode(sequence(cy0, cy1)) AS cy")
 
 
 def query_cells(queries: DataFrame, layout: Layout) -> tuple[DataFrame, _Lev]:
@@ -337,12 +375,15 @@ def query_cells(queries: DataFrame, layout: Layout) -> tuple[DataFrame, _Lev]:
     return _cover(df, layout, lev, clip=False), lev
 
 
+def meeting(df: DataFrame, window: tuple[float, float, float, float]) -> DataFrame:
+    """Boxes that meet ``window``; literals, so scans can skip."""
+    x0, y0, x1, y1 = map(_num, window)
+    return df.where(f"xmax >= {x0} AND xmin <= {x1} AND ymax >= {y0} AND ymin <= {y1}")
+
+
 def in_window(df: DataFrame, layout: Layout) -> DataFrame:
-    """Targets that can meet a query at all; literals, so scans can skip."""
-    x0, y0, x1, y1 = layout.window
-    return df.where(
-        (F.col("xmax") >= x0) & (F.col("xmin") <= x1) & (F.col("ymax") >= y0) & (F.col("ymin") <= y1)
-    )
+    """Targets that can meet a query at all."""
+    return meeting(df, layout.window)
 
 
 def target_cells(targets: DataFrame, layout: Layout, points: bool) -> tuple[DataFrame, _Lev]:
@@ -354,33 +395,33 @@ def target_cells(targets: DataFrame, layout: Layout, points: bool) -> tuple[Data
     return (df if points else _cover(df, layout, lev, clip=True)), lev
 
 
-def _point_key(layout: Layout, lev: _Lev) -> Column:
-    b, (x0, y0, _, _) = box_of(), layout.window
-    return _pack(layout, lev, _cell(b.xmin, x0, lev.ex), _cell(b.ymin, y0, lev.ey))
+def _point_key(layout: Layout, lev: _Lev) -> str:
+    x0, y0, _, _ = layout.window
+    return _pack(layout, lev, _cell("xmin", x0, lev.ex), _cell("ymin", y0, lev.ey))
 
 
 def whole_cells(queries: DataFrame, layout: Layout, inside: Column) -> DataFrame:
     """(key, qid) of the cells that satisfy ``inside``."""
     df, lev = query_cells(queries, layout)
-    return df.where(inside).select(_pack(layout, lev, F.col("cx"), F.col("cy")).alias("key"), "qid")
+    return df.where(inside).selectExpr(f"{_pack(layout, lev, 'cx', 'cy')} AS key", "qid")
 
 
 def cell_counts(points: DataFrame, layout: Layout) -> DataFrame:
     """(key, n): points per cell on every level; coarse levels add up fine cells."""
-    b, (x0, y0, _, _) = box_of(), layout.window
-    base = (F.lit(layout.base[0]), F.lit(layout.base[1]))
+    (x0, y0, _, _), (base_x, base_y) = layout.window, layout.base
     fine = (
         in_window(points, layout)
-        .groupBy(_cell(b.xmin, x0, base[0]).alias("fx"), _cell(b.ymin, y0, base[1]).alias("fy"))
+        .groupBy(
+            F.expr(_cell("xmin", x0, f"({base_x})")).alias("fx"), F.expr(_cell("ymin", y0, f"({base_y})")).alias("fy")
+        )
         .agg(F.sum("n").alias("n"))
     )
     df, lev = _with_levels(fine, layout, None, None)
-
-    def coarse(fine_cell: str, level: Column, axis: int) -> Column:
-        return F.floor(F.col(fine_cell) * F.pow(F.lit(2.0), (base[axis] - level).cast("double")))
-
-    key = _pack(layout, lev, coarse("fx", lev.ex, 0), coarse("fy", lev.ey, 1))
-    return df.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
+    key = _pack(
+        layout, lev,
+        f"floor(fx * pow(2.0D, double({base_x} - {lev.ex})))", f"floor(fy * pow(2.0D, double({base_y} - {lev.ey})))",
+    )
+    return df.groupBy(F.expr(key).alias("key")).agg(F.sum("n").alias("n"))
 
 
 def _salted(t: DataFrame, q: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -447,12 +488,12 @@ def meet(
     if not points:
         corner, cell = ["cx0", "cy0"], ["cx", "cy"]
         level = ["own_x", "own_y"] if several else []
-    q_key = _pack(layout, q_lev, F.col("cx"), F.col("cy"))
-    t_key = _point_key(layout, t_lev) if points else _pack(layout, t_lev, F.col("cx"), F.col("cy"))
-    t_more = [t_lev.ex.alias("t_ex"), t_lev.ey.alias("t_ey")] if level else []
+    q_key = _pack(layout, q_lev, "cx", "cy")
+    t_key = _point_key(layout, t_lev) if points else _pack(layout, t_lev, "cx", "cy")
+    t_more = [f"{t_lev.ex} AS t_ex", f"{t_lev.ey} AS t_ey"] if level else []
 
-    def side(df: DataFrame, key: Column, prefix: str, names: list[str], more: list[Column]) -> DataFrame:
-        return df.select(key.alias("key"), *(F.col(c).alias(prefix + c) for c in names), *more)
+    def side(df: DataFrame, key: str, prefix: str, names: list[str], more: list[str]) -> DataFrame:
+        return df.selectExpr(f"{key} AS key", *(f"`{c}` AS `{prefix}{c}`" for c in names), *more)
 
     t = side(t, t_key, "t_", targets.columns + corner + cell + level, t_more)
     q = side(q, q_key, "q_", queries.columns + corner + level, [])
@@ -466,13 +507,7 @@ def meet(
     pairs = t.join(q, keys)
     if points:
         return pairs
-    owner = (F.col("t_cx") == F.greatest("t_cx0", "q_cx0")) & (
-        F.col("t_cy") == F.greatest("t_cy0", "q_cy0")
-    )
+    owner = "t_cx = greatest(t_cx0, q_cx0) AND t_cy = greatest(t_cy0, q_cy0)"
     if level:
-        owner = (
-            owner
-            & (F.col("t_ex") == F.greatest("t_own_x", "q_own_x"))
-            & (F.col("t_ey") == F.greatest("t_own_y", "q_own_y"))
-        )
+        owner += " AND t_ex = greatest(t_own_x, q_own_x) AND t_ey = greatest(t_own_y, q_own_y)"
     return pairs.where(owner)

@@ -3,6 +3,8 @@
 import __spark_entry__ as entry
 import quadrille as qd
 from pyspark.sql import functions as F
+from quadrille.operators import spatial_join as join_module
+from quadrille.plans import grid
 from quadrille.plans.materialize import checkpointed, size_estimate_bits
 
 SF = "/root/testdata/sf0.001"
@@ -55,3 +57,39 @@ def test_size_estimates_do_not_grow_with_rounds(spark):
         top = state.groupBy("v").agg(F.max("id").alias("top"))
         state = checkpointed(state.join(top, "v").join(rows.select("id"), "id").select("id", "v"))
     assert size_estimate_bits(state) < 100 and state.count() == 50
+
+
+def test_rectangles_are_read_once_if_the_queries_are_few(spark, monkeypatch):
+    measured, plain = [], grid.measure
+    monkeypatch.setattr(grid, "measure", lambda boxes, window=None: measured.append(window) or plain(boxes, window))
+    t, q = entry.tr(spark, SF), entry.qr(spark, SF)
+    text = plan(qd.spatial_join(t, q))
+    assert measured == [None] and "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
+    # otherwise only what meets the window of the queries is measured
+    measured.clear()
+    qd.spatial_join(t, q, strategy="shuffle")
+    extents = plain(join_module.as_boxes(q, None, [])[0])
+    assert measured == [None, (extents.xmin, extents.ymin, extents.xmax, extents.ymax)]
+
+
+def test_layouts_of_unmeasured_targets(spark):
+    # magnitudes from far below the queries to far above their window, flat and upright
+    q = spark.createDataFrame(
+        [(i, 10.0 * i, 7.0 * i, 10.0 * i + 3, 7.0 * i + 40) for i in range(40)],
+        "id long, x1 double, y1 double, x2 double, y2 double",
+    )
+    t = spark.createDataFrame(
+        [
+            (i, -50.0 + 13 * i % 500, -60.0 + 11 * i % 450, -50.0 + 13 * i % 500 + 2.0 ** (i % 23 - 11),
+             -60.0 + 11 * i % 450 + 2.0 ** (i * 5 % 29 - 14))
+            for i in range(600)
+        ],
+        "id long, x1 double, y1 double, x2 double, y2 double",
+    )
+    boxes, asked = t.collect(), q.collect()
+    want = sorted(
+        (a.id, b.id) for a in asked for b in boxes if a.x1 <= b.x2 and b.x1 <= a.x2 and a.y1 <= b.y2 and b.y1 <= a.y2
+    )
+    for strategy in ("auto", "broadcast", "shuffle"):
+        assert sorted(map(tuple, qd.spatial_join(t, q, strategy=strategy).collect())) == want
