@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 
@@ -14,10 +15,8 @@ from ..plans.materialize import checkpointed
 from .spatial_join import as_boxes
 
 _TILE_LIMIT = 64  # boxes in one tile before it is split
-_SPLIT = 2  # a hot tile becomes 2**_SPLIT x 2**_SPLIT tiles
-_ROUNDS = 8
-_TILE = ("tx", "cy")  # tx = cx * _LEVELS + level
-_LEVELS = 16
+_SHARES = (0.25, 0.5, 0.75)  # a crowded tile is cut at these quantiles of its sides, on both axes
+_TILE = ("tx", "cy")
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 _STRAIGHT = (3, 6, 9, 12)  # two neighbouring quadrants: the outline runs straight on
 
@@ -81,26 +80,21 @@ def _cut(lo: Column, tile: Column, hi: Column, first: str, last: str) -> tuple[C
     )
 
 
-def _tx(cx: str, level: int) -> Column:
-    return (F.col(cx) * _LEVELS + level).alias("tx")
-
-
 class _Tiling:
     def __init__(self, ext: grid.Extents) -> None:
         self.x0, self.y0 = ext.xmin, ext.ymin
         self.ex, self.ey = _tile_size(ext)
 
-    def ranges(self, boxes: DataFrame, level: int) -> DataFrame:
-        ex, ey = self.ex - level * _SPLIT, self.ey - level * _SPLIT
+    def ranges(self, boxes: DataFrame) -> DataFrame:
         return boxes.withColumns(
             {
-                "cx0": _cell("xmin", self.x0, ex), "cx1": _cell("xmax", self.x0, ex),
-                "cy0": _cell("ymin", self.y0, ey), "cy1": _cell("ymax", self.y0, ey),
+                "cx0": _cell("xmin", self.x0, self.ex), "cx1": _cell("xmax", self.x0, self.ex),
+                "cy0": _cell("ymin", self.y0, self.ey), "cy1": _cell("ymax", self.y0, self.ey),
             }
         )
 
     @staticmethod
-    def listed(ranged: DataFrame, level: int) -> DataFrame:
+    def listed(ranged: DataFrame) -> DataFrame:
         """Boxes in the tiles that their border runs through, cut to the tile.
 
         Equal rows are left in.
@@ -115,7 +109,7 @@ class _Tiling:
         x1, x2 = _cut(F.col("cx0"), F.col("cx"), F.col("cx1"), "xmin", "xmax")
         y1, y2 = _cut(F.col("cy0"), F.col("cy"), F.col("cy1"), "ymin", "ymax")
         return rows.select(
-            _tx("cx", level), "cy",
+            F.col("cx").alias("tx"), "cy",
             x1.alias("xmin"), y1.alias("ymin"), x2.alias("xmax"), y2.alias("ymax"),
         )
 
@@ -138,7 +132,7 @@ def _without_covered(rows: DataFrame, ranged: DataFrame, big: bool) -> DataFrame
     if ext.rows == 0:
         return rows
     tiles = rows.select(*_TILE).distinct()
-    number = {"x": (F.col("tx") / _LEVELS).cast("double"), "y": F.col("cy").cast("double")}
+    number = {"x": F.col("tx").cast("double"), "y": F.col("cy").cast("double")}
     points = tiles.select(*(number[n[0]].alias(n) for n in _BOX), *_TILE)
     layout = grid.plan_layout(ext, None)
     side = "queries" if layout.query_cells <= grid._BROADCAST_ROWS else None
@@ -152,40 +146,57 @@ def _without_covered(rows: DataFrame, ranged: DataFrame, big: bool) -> DataFrame
     return rows.join(covered, list(_TILE), "left_anti")
 
 
-def _split(rows: DataFrame, level: int, tiling: _Tiling) -> DataFrame:
-    """Move the boxes of hot tiles to finer tiles.
+def _cuts(rows: DataFrame) -> DataFrame:
+    """Crowded tiles with a number of their own and the values to cut them at.
+
+    The values are quantiles of the distinct ends that lie inside the tile.  A tile with
+    9 rows or more has two such ends on one axis at least, and the last quantile of two or
+    more values is not the least of them: every child has fewer distinct ends than its tile,
+    mostly a quarter, wherever they lie and however near to each other.  So the cutting ends.
+    """
+    crowded = rows.groupBy(*_TILE).count().where(F.col("count") > _TILE_LIMIT)
+    ends = [F.struct(F.lit(c[0]).alias("axis"), F.col(c).alias("at")) for c in _BOX]
+    inside = (
+        rows.join(crowded, list(_TILE), "left_semi")
+        .select(*_TILE, F.explode(F.array(*ends)).alias("end"))
+        .select(*_TILE, "end.axis", "end.at")
+        .where(F.abs("at") < math.inf)
+        .distinct()
+    )
+
+    def quantiles(axis: str) -> Column:
+        own = F.when(F.col("axis") == axis, F.col("at"))
+        found = F.percentile_approx(own, list(_SHARES))
+        return F.coalesce(found, F.array().cast("array<double>")).alias("at_" + axis)
+
+    cuts = (
+        inside.groupBy(*_TILE)
+        .agg(quantiles("x"), quantiles("y"), F.count_if(F.col("axis") == "x").alias("xs"), F.count("*").alias("all"))
+        .where("xs > 1 OR all - xs > 1")
+        .drop("xs", "all")
+    )
+    return checkpointed(cuts.withColumn("number", F.monotonically_increasing_id()))
+
 
-    Ends outside the hot tile are infinite; the range is clamped to its children.
+def _split(rows: DataFrame, cuts: DataFrame, round_: int) -> DataFrame:
+    """Move the boxes of crowded tiles to the tiles between their cuts.
+
+    Ends outside the crowded tile are infinite and lie before and behind all cuts.
     Children inside one box are dropped.
     """
-    n = 1 << _SPLIT
-    parent = F.floor(F.col("tx") / _LEVELS).cast("long").alias("cx")
-    ranged = tiling.ranges(rows.select(parent, "cy", *_BOX), level)
-    for c in ("cx", "cy"):
-        lo, hi = F.col(c) * n, F.col(c) * n + (n - 1)
-        side = ("xmin", "xmax") if c == "cx" else ("ymin", "ymax")
-        # one beyond the tile marks an end that lies outside
+    ranged = rows.join(cuts, list(_TILE))
+    for axis in ("x", "y"):
+        behind = "size(filter(at_{0}, c -> c <= {0}{1}))"
         ranged = ranged.withColumns(
-            {
-                c + "0": F.when(F.col(side[0]) == -math.inf, lo - 1).otherwise(F.col(c + "0")),
-                c + "1": F.when(F.col(side[1]) == math.inf, hi + 1).otherwise(F.col(c + "1")),
-                "from_" + c: lo,
-                "to_" + c: hi,
-            }
-        )
-    for c in ("cx", "cy"):
-        ranged = ranged.withColumn(
-            "new_" + c,
-            F.explode(
-                F.sequence(
-                    F.greatest(c + "0", "from_" + c), F.least(c + "1", "to_" + c)
-                )
-            ),
-        )
-    x1, x2 = _cut(F.col("cx0"), F.col("new_cx"), F.col("cx1"), "xmin", "xmax")
-    y1, y2 = _cut(F.col("cy0"), F.col("new_cy"), F.col("cy1"), "ymin", "ymax")
+            {axis + "0": F.expr(behind.format(axis, "min")), axis + "1": F.expr(behind.format(axis, "max"))}
+        ).withColumn("n" + axis, F.explode(F.sequence(axis + "0", axis + "1")))
+    x1, x2 = _cut(F.col("x0"), F.col("nx"), F.col("x1"), "xmin", "xmax")
+    y1, y2 = _cut(F.col("y0"), F.col("ny"), F.col("y1"), "ymin", "ymax")
+    # tiles of the plane have numbers from 0, children of round r numbers below 0
+    side = len(_SHARES) + 1
+    child = -(F.lit(round_) * side * side + F.col("nx") * side + F.col("ny") + 1)
     children = ranged.select(
-        _tx("new_cx", level), F.col("new_cy").alias("cy"),
+        F.col("number").alias("tx"), child.cast("long").alias("cy"),
         x1.alias("xmin"), y1.alias("ymin"), x2.alias("xmax"), y2.alias("ymax"),
     ).dropDuplicates()
     covering = (
@@ -197,23 +208,19 @@ def _split(rows: DataFrame, level: int, tiling: _Tiling) -> DataFrame:
 
 
 def _tiles(boxes: DataFrame, ext: grid.Extents) -> DataFrame:
-    """Boxes by tile, no tile with more than ``_TILE_LIMIT`` of them."""
+    """Boxes by tile, no tile with more than ``_TILE_LIMIT`` (or 8) different rows."""
     tiling = _Tiling(ext)
     big = any(bx > tiling.ex and by > tiling.ey for bx, by, _ in ext.sizes)
-    ranged = tiling.ranges(boxes, 0)
-    raw = _without_covered(tiling.listed(ranged, 0), ranged, big)
-    rows = raw.dropDuplicates()
+    ranged = tiling.ranges(boxes)
+    rows = checkpointed(_without_covered(tiling.listed(ranged), ranged, big).dropDuplicates())
     done: DataFrame | None = None
-    for level in range(1, _ROUNDS + 1):
-        hot = checkpointed(
-            raw.groupBy(*_TILE).count().where(F.col("count") > _TILE_LIMIT).select(*_TILE)
-        )
-        if level == _ROUNDS or hot.count() == 0:
-            break
-        cool = rows.join(hot, list(_TILE), "left_anti")
+    for round_ in itertools.count():
+        cuts = _cuts(rows)
+        if cuts.isEmpty():
+            return rows if done is None else done.unionByName(rows)
+        cool = rows.join(cuts.select(*_TILE), list(_TILE), "left_anti")
         done = cool if done is None else done.unionByName(cool)
-        raw = rows = checkpointed(_split(rows.join(hot, list(_TILE), "left_semi"), level, tiling))
-    return rows if done is None else done.unionByName(rows)
+        rows = checkpointed(_split(rows, cuts, round_))
 
 
 def _either(df: DataFrame, fixed: str, a: str, b: str, *keep: Column | str) -> DataFrame:
@@ -233,7 +240,8 @@ def rect_union(
 
     Rectangles without area are ignored.  The plane is cut into tiles; a tile
     knows every rectangle that touches a point it owns, so tiles are finished
-    independently.  Crowded tiles are split, tiles inside one rectangle dropped.
+    independently.  Crowded tiles are cut at quantiles of the sides inside them until
+    none is left, tiles inside one rectangle dropped.
     """
     boxes, points = as_boxes(rects, columns, [])
     if points:

@@ -157,7 +157,6 @@ UNIONS = {
 @pytest.mark.parametrize("case", UNIONS)
 def test_union(rects, monkeypatch, case, limit):
     monkeypatch.setattr(union_module, "_TILE_LIMIT", limit)
-    monkeypatch.setattr(union_module, "_ROUNDS", 3)
     given, corners, straight = UNIONS[case]
     want = {(*p, "corner") for p in corners} | {(*p, "collinear") for p in straight}
     got = rows(qd.rect_union(rects(given)))

@@ -130,7 +130,6 @@ def test_large_hull_is_finished_piecewise(points):
 @pytest.mark.parametrize(("seed", "limit"), [(0, 64), (1, 4), (2, 8), (3, 3)])
 def test_union_against_raster(rects, monkeypatch, seed, limit):
     monkeypatch.setattr(union_module, "_TILE_LIMIT", limit)
-    monkeypatch.setattr(union_module, "_ROUNDS", 3)
     rng = random.Random(seed)
     given = boxes(rng, 25, 14)
     got = [tuple(r) for r in qd.rect_union(rects(given)).collect()]

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import quadrille as qd
 from quadrille.functions.kernels import antipodal_pairs
+from quadrille.operators import rect_union as union_module
 from quadrille.plans import grid
 
 
@@ -111,3 +112,34 @@ def test_pockets_of_points_that_crowd_together(spark):
     got = {tuple(r) for r in qd.convex_hull(spark.createDataFrame(rows, "x double, y double"), one_task=3).collect()}
     assert got == set(rows)
     assert time.time() - began < 60
+
+
+def crosses(lengths):
+    """Boxes around one point, one for each way to be wider and lower than another."""
+    return [(-a, -b, a, b) for a, b in zip(lengths, reversed(lengths))]
+
+
+@pytest.mark.parametrize(
+    "lengths",
+    [[float(i) for i in range(1, 1200)], [2.0**-k for k in range(0, 900)], [1 + k * 2.0**-52 for k in range(400)]],
+    ids=["even", "magnitudes", "neighbouring doubles"],
+)
+def test_union_of_boxes_through_one_point(rects, lengths):
+    got = [tuple(r) for r in qd.rect_union(rects(crosses(lengths))).collect()]
+    up = sorted(lengths)
+    outer = list(zip(up, reversed(up)))
+    inner = list(zip(up[:-1], list(reversed(up))[1:]))
+    want = {(sx * x, sy * y, "corner") for x, y in outer + inner for sx in (1, -1) for sy in (1, -1)}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_no_tile_stays_crowded(spark):
+    """Twenty thousand boxes through one point; no tile, so no group of a join, is large."""
+    n = 20_000
+    df = spark.range(1, n).selectExpr(
+        "cast(-id AS double) AS xmin", f"cast(id - {n} AS double) AS ymin",
+        "cast(id AS double) AS xmax", f"cast({n} - id AS double) AS ymax",
+    )
+    tiles = union_module._tiles(df, union_module.grid.measure(df))
+    assert tiles.groupBy("tx", "cy").count().agg({"count": "max"}).first()[0] <= union_module._TILE_LIMIT
+    assert qd.rect_union(df).count() == 8 * n - 12
