@@ -17,16 +17,52 @@ from ..plans import grid
 from ..plans.materialize import checkpointed
 
 _ROWS_PER_STRIP = 500_000
+# Tasks, not memory, bound the number of strips: a strip is streamed, so beyond this all grow alike.
 _MAX_STRIPS = 100_000
 _SWEEP = 1 << 18
-# A point with more than 1/1000 of all rows is hot; the sketch errs by less.
-_HOT_SHARE = 1000
 _ROUND_OFF = 1 + 1e-9
 _PAIR = "x1 double, y1 double, x2 double, y2 double, d2 double"
 # kind 0: best pair of a strip; kind 1: point near an end of its strip
 _STRIP = f"kind int, strip int, {_PAIR}, gap double"
 
 
+def _fold_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Points of one task that may still decide the answer, before they are shuffled.
+
+    Copies have distance 0, and of all copied points the smallest is the answer.  Once a
+    task has met a point twice within a chunk, larger points are of no use and its own further
+    copies are dropped: a point leaves the task a few times at most, however often it occurs.
+    """
+    least: tuple[float, float] | None = None  # the smallest point met twice, already handed on
+
+    for batch in _gathered(batches):
+        x, y = batch[:, 0], batch[:, 1]
+        if least is not None:
+            below = (x < least[0]) | ((x == least[0]) & (y < least[1]))
+            x, y = x[below], y[below]
+        if len(x) == 0:
+            continue
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        twice = np.nonzero((x[1:] == x[:-1]) & (y[1:] == y[:-1]))[0]
+        if len(twice):
+            end = twice[0] + 2
+            least, x, y = (x[end - 1], y[end - 1]), x[:end], y[:end]
+        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Rows (x, y) in chunks of some ``_SWEEP`` rows."""
+    waiting: list[np.ndarray] = []
+    for batch in batches:
+        waiting.append(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:2]]) + 0.0)
+        if sum(map(len, waiting)) >= _SWEEP:
+            yield np.concatenate(waiting)
+            waiting = []
+    if waiting:
+        yield np.concatenate(waiting)
+
+
 def _strip_sweep(axis: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Sweep over one strip, whose rows arrive in the order of ``axis``.
 
@@ -150,28 +186,21 @@ def closest_pair(
     """One row (x1, y1, x2, y2, distance), smaller point first; none below 2 points.
 
     Copies of a point are two points at distance 0.  Ties go to the smallest
-    (x1, y1, x2, y2).  The points are range-partitioned once into strips, each
+    (x1, y1, x2, y2).  Every task folds its copies, the points are range-partitioned once into strips, each
     strip is swept, and points near the strip ends are matched across strips
     with an equi-join on cells of the size of the best distance so far.
     """
     pts = points_only(points, x, y)
     size = pts.agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr("get(approx_top_k(xxhash64(x, y), 1, 10000), 0).count").alias("top"),
         (F.max("x") - F.min("x")).alias("span_x"),
         (F.max("y") - F.min("y")).alias("span_y"),
     ).first()
     n = size.n
     if n < 2:
         return _as_result(_copies(pts))
-    if n > _ROWS_PER_STRIP and (size.top or 0) * _HOT_SHARE > n:
-        # many copies of one point would fill one strip; grouping collapses them
-        # before its shuffle, and one pair of copies settles the answer
-        copies = checkpointed(_as_result(_copies(pts)))
-        if copies.count():
-            return copies
     axes = (0, 1) if size.span_x >= size.span_y else (1, 0)
-    found, border, radius = None, pts, None
+    found, border, radius = None, pts.mapInArrow(_fold_copies, "x double, y double"), None
     for axis in axes:
         count = strips or min(_MAX_STRIPS, math.ceil(n / _ROWS_PER_STRIP))
         result = _search_strips(border.select("x", "y"), axis, count)

@@ -116,6 +116,23 @@ def test_hot_copies_settle_the_closest_pair(points, monkeypatch):
     assert tuple(qd.closest_pair(df).first()) == (5.0, 5.0, 5.0, 5.0, 0.0)
 
 
+@pytest.mark.parametrize("share", [1, 40])
+def test_copies_are_folded_before_their_shuffle(points, monkeypatch, share):
+    """A point in every ``share``-th row leaves each task twice, not n / share times."""
+    monkeypatch.setattr(closest_module, "_SWEEP", 64)
+    monkeypatch.setattr(closest_module, "_ROWS_PER_STRIP", 100)
+    rng = random.Random(share)
+    pts = [(3.0, -0.0) if i % share == 0 else (3.0 + rng.random(), rng.random()) for i in range(2000)]
+    pts += [(2.0, 9.0), (2.0, 9.0), (2.0, 8.0), (1.0, 1.0)]
+    rng.shuffle(pts)
+    df = points(pts, 4)
+    folded = df.mapInArrow(closest_module._fold_copies, "x double, y double")
+    assert folded.where("x = 3 AND y = 0").count() <= 8
+    assert tuple(qd.closest_pair(df).first()) == (2.0, 9.0, 2.0, 9.0, 0.0)
+    alone = points([p for p in pts if p[0] != 2.0], 4)
+    assert tuple(qd.closest_pair(alone).first()) == (3.0, 0.0, 3.0, 0.0, 0.0)
+
+
 def test_large_hull_is_finished_piecewise(points):
     rng = np.random.default_rng(4)
     a = rng.uniform(0, 2 * np.pi, 300)
