@@ -63,6 +63,39 @@ def keep_valid(
     raise ValueError("on_bad is 'drop' or 'fail'")
 
 
+def checked(
+    df: DataFrame,
+    columns: Sequence[str],
+    on_bad: str = "drop",
+    observation: Observation | None = None,
+) -> DataFrame:
+    """``df``, once its coordinates were looked at if the caller asked for that.
+
+    ``fail`` raises if a coordinate is null, NaN or infinite; ``observation`` receives
+    ``bad_rows`` and ``rows``.  Either costs a pass over the coordinates beforehand, so
+    the figures are whole whatever an operator prunes or reads twice.  A stream is
+    checked batch by batch instead.
+    """
+    if on_bad not in ("drop", "fail"):
+        raise ValueError("on_bad is 'drop' or 'fail'")
+    if on_bad == "drop" and observation is None:
+        return df
+    if df.isStreaming:
+        return keep_valid(df, columns, on_bad, observation)
+    numbers = [F.col(c).cast("double") for c in columns]
+    bad = ~F.coalesce(is_finite(*numbers), F.lit(False))
+    text = F.concat_ws(",", *(F.coalesce(c.cast("string"), F.lit("null")) for c in numbers))
+    looked = df.select(bad.alias("bad"), F.when(bad, text).alias("text"))
+    if observation is not None:
+        looked = looked.observe(
+            observation, F.count_if("bad").alias("bad_rows"), F.count(F.lit(1)).alias("rows")
+        )
+    found = looked.agg(F.count_if("bad").alias("n"), F.min("text").alias("example")).first()
+    if on_bad == "fail" and found.n:
+        raise ValueError(f"{found.n} rows with bad coordinates, one of them {found.example}")
+    return df
+
+
 def points_only(df: DataFrame, x: str, y: str, *carry: Column) -> DataFrame:
     """Valid points as double columns ``x, y`` plus the carried columns."""
     return keep_valid(df, (x, y)).select(

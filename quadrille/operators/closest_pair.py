@@ -8,11 +8,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.kernels import better, closest_in
-from ..functions.shapes import points_only
+from ..functions.shapes import checked, points_only
 from ..plans import grid
 from ..plans.materialize import checkpointed
 
@@ -181,7 +181,12 @@ def _copies(points: DataFrame) -> DataFrame:
 
 
 def closest_pair(
-    points: DataFrame, x: str = "x", y: str = "y", strips: int | None = None
+    points: DataFrame,
+    x: str = "x",
+    y: str = "y",
+    strips: int | None = None,
+    on_bad: str = "drop",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """One row (x1, y1, x2, y2, distance), smaller point first; none below 2 points.
 
@@ -189,8 +194,9 @@ def closest_pair(
     (x1, y1, x2, y2).  Every task folds its copies, the points are range-partitioned once into strips, each
     strip is swept, and points near the strip ends are matched across strips
     with an equi-join on cells of the size of the best distance so far.
+    ``on_bad='fail'`` refuses bad coordinates, ``observation`` counts them.
     """
-    pts = points_only(points, x, y)
+    pts = points_only(checked(points, (x, y), on_bad, observation), x, y)
     size = pts.agg(
         F.count(F.lit(1)).alias("n"),
         (F.max("x") - F.min("x")).alias("span_x"),

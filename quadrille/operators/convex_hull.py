@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from ..functions.kernels import hull_ring
-from ..functions.shapes import points_only
+from ..functions.shapes import checked, points_only
 from ..plans.materialize import checkpointed
 from ..plans.pockets import hull_by_pockets
 
@@ -68,15 +68,21 @@ def hull_survivors(points: DataFrame, one_task: int) -> tuple[DataFrame, int]:
 
 
 def convex_hull(
-    points: DataFrame, x: str = "x", y: str = "y", one_task: int = _ONE_TASK
+    points: DataFrame,
+    x: str = "x",
+    y: str = "y",
+    one_task: int = _ONE_TASK,
+    on_bad: str = "drop",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Hull vertices (x, y), ordered by x then y.
 
     Points on an edge are no vertices.  Points on one line give its two ends,
     one distinct point gives itself, no point gives no row.  If more than
     ``one_task`` vertices are in play the hull is finished piecewise.
+    ``on_bad='fail'`` refuses bad coordinates, ``observation`` counts them.
     """
-    left, count = hull_survivors(points_only(points, x, y), one_task)
+    left, count = hull_survivors(points_only(checked(points, (x, y), on_bad, observation), x, y), one_task)
     if count > one_task:
         return hull_by_pockets(left, one_task)
     return left.repartition(1).mapInArrow(_sorted_hull, _POINT)

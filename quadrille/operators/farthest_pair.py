@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.kernels import antipodal_pairs, best_pair
-from ..functions.shapes import points_only
+from ..functions.shapes import checked, points_only
 from ..plans.pockets import farthest_by_edges
 from .convex_hull import _ONE_TASK, _columns, hull_survivors, local_hull
 
@@ -29,14 +29,20 @@ def _farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def farthest_pair(
-    points: DataFrame, x: str = "x", y: str = "y", one_task: int = _ONE_TASK
+    points: DataFrame,
+    x: str = "x",
+    y: str = "y",
+    one_task: int = _ONE_TASK,
+    on_bad: str = "drop",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """One row (x1, y1, x2, y2, distance), smaller point first; none below 2 points.
 
     Only hull vertices can be farthest apart, and only those that face opposite
     directions are compared.  Ties go to the smallest (x1, y1, x2, y2).
+    ``on_bad='fail'`` refuses bad coordinates, ``observation`` counts them.
     """
-    valid = points_only(points, x, y)
+    valid = points_only(checked(points, (x, y), on_bad, observation), x, y)
     left, count = hull_survivors(valid, one_task)
     if count > one_task:
         return farthest_by_edges(left, one_task)

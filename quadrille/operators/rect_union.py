@@ -6,10 +6,11 @@ import itertools
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.predicates import box_of
+from ..functions.shapes import checked, coordinate_columns
 from ..plans import grid
 from ..plans.materialize import checkpointed
 from .spatial_join import as_boxes
@@ -231,7 +232,11 @@ def _either(df: DataFrame, fixed: str, a: str, b: str, *keep: Column | str) -> D
 
 
 def rect_union(
-    rects: DataFrame, columns: Sequence[str] | None = None, corners_only: bool = False
+    rects: DataFrame,
+    columns: Sequence[str] | None = None,
+    corners_only: bool = False,
+    on_bad: str = "drop",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Rows (x, y, kind): every vertex of the outline, holes included, once.
 
@@ -242,7 +247,9 @@ def rect_union(
     knows every rectangle that touches a point it owns, so tiles are finished
     independently.  Crowded tiles are cut at quantiles of the sides inside them until
     none is left, tiles inside one rectangle dropped.
+    ``on_bad='fail'`` refuses bad coordinates, ``observation`` counts them.
     """
+    rects = checked(rects, coordinate_columns(rects, columns), on_bad, observation)
     boxes, points = as_boxes(rects, columns, [])
     if points:
         raise ValueError("rect_union needs rectangles")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions.predicates import box_of
+from ..functions.shapes import checked, coordinate_columns
 from ..plans import grid
 from .spatial_join import as_boxes, matched, side_to_broadcast
 
@@ -51,6 +52,9 @@ def spatial_count(
     query_id: str = "id",
     target_columns: Sequence[str] | None = None,
     query_columns: Sequence[str] | None = None,
+    on_bad: str = "drop",
+    observation: Observation | None = None,
+    query_observation: Observation | None = None,
 ) -> DataFrame:
     """Rows (qid, n): targets contained in or touching each query box.
 
@@ -60,9 +64,13 @@ def spatial_count(
 
     strategy  ``broadcast``/``shuffle`` join and count; ``cells`` counts points per
               cell first and joins only along query borders; ``auto`` measures.
+    ``on_bad='fail'`` refuses bad coordinates on either side; ``observation`` counts them
+    among the targets, ``query_observation`` among the queries.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is 'inner' or 'left'")
+    targets = checked(targets, coordinate_columns(targets, target_columns), on_bad, observation)
+    queries = checked(queries, coordinate_columns(queries, query_columns), on_bad, query_observation)
     t, points = as_boxes(targets, target_columns, [])
     q, _ = as_boxes(queries, query_columns, [(query_id, "qid")])
     ext = grid.measure(q)

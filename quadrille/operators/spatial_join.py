@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions.predicates import Box, box_of
-from ..functions.shapes import coordinate_columns, keep_valid, to_box
+from ..functions.shapes import checked, coordinate_columns, keep_valid, to_box
 from ..plans import grid
 from ..plans.materialize import checkpointed
 
@@ -133,6 +133,9 @@ def spatial_join(
     query_columns: Sequence[str] | None = None,
     predicate: Callable[[Box, Box], Column] = P.intersects,
     part_size: int = _PART,
+    on_bad: str = "drop",
+    observation: Observation | None = None,
+    query_observation: Observation | None = None,
 ) -> DataFrame:
     """For each query box the targets it meets (closed sets).
 
@@ -145,9 +148,13 @@ def spatial_join(
             targets (beyond a bound they are shuffled all the same); ``shuffle`` co-partitions both by cell and salts hot cells;
             ``auto`` measures the queries and decides by their number of cells.
     ``predicate(query, target)`` may be narrower than the default.
+    ``on_bad='fail'`` refuses bad coordinates on either side; ``observation`` counts them
+    among the targets, ``query_observation`` among the queries.
     """
     if how not in ("inner", "left") or output not in ("pairs", "lists", "parts"):
         raise ValueError("how is 'inner' or 'left', output is 'pairs', 'lists' or 'parts'")
+    targets = checked(targets, coordinate_columns(targets, target_columns), on_bad, observation)
+    queries = checked(queries, coordinate_columns(queries, query_columns), on_bad, query_observation)
     t, points = as_boxes(targets, target_columns, [(target_id, "tid")])
     q, _ = as_boxes(queries, query_columns, [(query_id, "qid")])
     extents = grid.measure(q)

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 import quadrille as qd
+from pyspark.sql import Observation
 from quadrille.functions.kernels import antipodal_pairs
 from quadrille.operators import rect_union as union_module
 from quadrille.plans import grid
@@ -143,3 +144,41 @@ def test_no_tile_stays_crowded(spark):
     tiles = union_module._tiles(df, union_module.grid.measure(df))
     assert tiles.groupBy("tx", "cy").count().agg({"count": "max"}).first()[0] <= union_module._TILE_LIMIT
     assert qd.rect_union(df).count() == 8 * n - 12
+
+
+WINDOW = [(1, 0.0, 0.0, 9.0, 9.0)]
+CHECKED = {
+    "range_query": lambda p, r, **o: qd.range_query(p, (0, 0, 9, 9), **o),
+    "spatial_join": lambda p, r, **o: qd.spatial_join(p, r(WINDOW), **o),
+    "spatial_count": lambda p, r, **o: qd.spatial_count(p, r(WINDOW), **o),
+    "convex_hull": lambda p, r, **o: qd.convex_hull(p, **o),
+    "farthest_pair": lambda p, r, **o: qd.farthest_pair(p, **o),
+    "closest_pair": lambda p, r, **o: qd.closest_pair(p, **o),
+    "rect_union": lambda p, r, **o: qd.rect_union(
+        p.selectExpr("x AS x1", "y AS y1", "x + 1 AS x2", "y + 1 AS y2"), **o
+    ),
+}
+
+
+@pytest.mark.parametrize("name", CHECKED)
+def test_bad_rows_are_counted_or_refused(points, rects, name):
+    good = [(1, 1.0, 1.0), (2, 4.0, 2.0), (3, 2.0, 7.0)]
+    clean, mixed = points(good), points([*good, (4, math.nan, 1.0), (5, 2.0, math.inf)], 2)
+    want = sorted(map(tuple, CHECKED[name](clean, rects, on_bad="fail").collect()))
+    seen = Observation()
+    assert sorted(map(tuple, CHECKED[name](mixed, rects, observation=seen).collect())) == want
+    assert seen.get == {"bad_rows": 2, "rows": 5}
+    with pytest.raises(ValueError, match="2 rows with bad coordinates"):
+        CHECKED[name](mixed, rects, on_bad="fail")
+    with pytest.raises(ValueError, match="'drop' or 'fail'"):
+        CHECKED[name](mixed, rects, on_bad="keep")
+
+
+def test_bad_queries_are_counted_or_refused(points, rects):
+    p, q = points([(1, 1.0, 1.0)]), rects([*WINDOW, (2, 0.0, math.nan, 1.0, 1.0)])
+    for operator in (qd.spatial_join, qd.spatial_count):
+        seen = Observation()
+        assert len(operator(p, q, query_observation=seen).collect()) == 1
+        assert seen.get == {"bad_rows": 1, "rows": 2}
+        with pytest.raises(ValueError, match="1 rows"):
+            operator(p, q, on_bad="fail")
