@@ -7,6 +7,7 @@ bound, and rational arithmetic when the bound cannot tell.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -85,16 +86,18 @@ def hull_ring(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[ring], y[ring]
 
 
-def antipodal_pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a hull ring among which the farthest pair is found.
+def antipodal_pairs(
+    x: np.ndarray, y: np.ndarray, chunk: int = 1 << 20
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of a hull ring among which the farthest pair is found, ``chunk`` at a time.
 
     Vertex i faces the directions between its two edges; its partners face the
     opposite directions.  Ranges are widened by one vertex on both ends.
     """
     n = len(x)
     if n < 4:
-        i, j = np.triu_indices(n, 1)
-        return i, j
+        yield np.triu_indices(n, 1)
+        return
     # parallel lines stay parallel when an axis is scaled, and a flat ring keeps its angles apart
     width, height = max(np.ptp(x), np.finfo(float).tiny), max(np.ptp(y), np.finfo(float).tiny)
     angle = np.unwrap(np.arctan2((np.roll(y, -1) - y) / height, (np.roll(x, -1) - x) / width))
@@ -104,10 +107,17 @@ def antipodal_pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
     before[0] -= 2 * np.pi
     lo = np.searchsorted(wrapped, before + np.pi, "left") - 1
     hi = np.searchsorted(wrapped, angle + np.pi, "right") + 1
-    size = hi - lo + 1
-    i = np.repeat(np.arange(n), size)
-    j = (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)) % n
-    return i, j
+    ends = np.cumsum(hi - lo + 1)
+    for begin in range(0, int(ends[-1]), chunk):
+        pair = np.arange(begin, min(begin + chunk, int(ends[-1])))
+        i = np.searchsorted(ends, pair, "right")
+        yield i, (hi[i] - (ends[i] - 1 - pair)) % n
+
+
+def farthest_of_ring(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, float, float] | None:
+    """(d2, x1, y1, x2, y2) of the farthest vertices; memory grows with the ring, not with its pairs."""
+    found = (best_pair(x[i], y[i], x[j], y[j], farthest=True) for i, j in antipodal_pairs(x, y))
+    return min((f for f in found if f is not None), key=lambda f: (-f[0], *f[1:]), default=None)
 
 
 def best_pair(

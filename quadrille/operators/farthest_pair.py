@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.kernels import antipodal_pairs, best_pair
+from ..functions.kernels import farthest_of_ring
 from ..functions.shapes import checked, points_only
 from ..plans.pockets import farthest_by_edges
 from .convex_hull import _ONE_TASK, _columns, hull_survivors, local_hull
@@ -18,9 +18,7 @@ _PAIR = "x1 double, y1 double, x2 double, y2 double, distance double"
 
 def _farthest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in local_hull(batches):
-        x, y = _columns(batch)
-        i, j = antipodal_pairs(x, y)
-        best = best_pair(x[i], y[i], x[j], y[j], farthest=True)
+        best = farthest_of_ring(*_columns(batch))
         if best is not None:
             d2, *ends = best
             row = [*ends, d2**0.5]

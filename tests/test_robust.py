@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import quadrille as qd
 from pyspark.sql import Observation
-from quadrille.functions.kernels import antipodal_pairs
+from quadrille.functions.kernels import antipodal_pairs, farthest_of_ring
 from quadrille.operators import rect_union as union_module
 from quadrille.plans import grid
 
@@ -82,8 +82,19 @@ def test_coincident_points_in_many_partitions(points):
 def test_flat_rings_face_few_vertices():
     a = np.linspace(0, 2 * np.pi, 4000, endpoint=False)
     for aspect in (1.0, 1e17, 1e18):
-        i, _ = antipodal_pairs(np.cos(a) * aspect, np.sin(a))
-        assert len(i) <= 6 * 4000
+        assert sum(len(i) for i, _ in antipodal_pairs(np.cos(a) * aspect, np.sin(a))) <= 6 * 4000
+
+
+def test_pairs_of_a_ring_come_in_chunks():
+    rng = np.random.default_rng(8)
+    a = np.sort(rng.uniform(0, 2 * np.pi, 500))
+    x, y = np.cos(a), np.sin(a)
+    whole = [np.concatenate(c).tolist() for c in zip(*antipodal_pairs(x, y))]
+    parts = list(antipodal_pairs(x, y, chunk=7))
+    assert max(len(i) for i, _ in parts) == 7
+    assert [np.concatenate(c).tolist() for c in zip(*parts)] == whole
+    d2 = (x[:, None] - x) ** 2 + (y[:, None] - y) ** 2
+    assert farthest_of_ring(x, y)[0] == d2.max()
 
 
 def test_sql_predicates_take_any_two_corners(spark):
