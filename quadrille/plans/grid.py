@@ -24,7 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .materialize import checkpointed
+from .materialize import checkpointed, size_estimate_bits
 
 # Bits per cell index inside the packed join key: level | cx | cy.  Windows with more cells
 # on an axis have a key of three columns; a double tells that many cells apart.
@@ -35,6 +35,9 @@ _BROADCAST_ROWS = 500_000
 _HOT_TARGETS = 1_000_000
 _HOT_QUERIES = 10_000
 _HOT_PAIRS = 1e9
+# From this many query cells on, targets of a small table are dealt to all cores before they meet them.
+_SPREAD_CELLS = 50_000
+_SCAN_BYTES = 1 << 27
 # Real boxes crowd together; pairs weigh more than an even spread suggests.
 _CROWDING = 4.0
 
@@ -395,6 +398,18 @@ def target_cells(targets: DataFrame, layout: Layout, points: bool) -> tuple[Data
     return (df if points else _cover(df, layout, lev, clip=True)), lev
 
 
+def _dealt(targets: DataFrame) -> DataFrame:
+    """Targets in as many parts as there are cores.
+
+    A table of few bytes is scanned by few tasks, however many pairs its rows make.  Tables
+    large enough for a scan on every core stay where they are.
+    """
+    cores = targets.sparkSession.sparkContext.defaultParallelism
+    if not targets.isStreaming and (_SCAN_BYTES * cores).bit_length() <= size_estimate_bits(targets):
+        return targets
+    return targets.repartition(2 * cores)
+
+
 def _point_key(layout: Layout, lev: _Lev) -> str:
     x0, y0, _, _ = layout.window
     return _pack(layout, lev, _cell("xmin", x0, lev.ex), _cell("ymin", y0, lev.ey))
@@ -434,7 +449,7 @@ def _salted(t: DataFrame, q: DataFrame) -> tuple[DataFrame, DataFrame, list[str]
     hot = checkpointed(
         t.groupBy("key")
         .agg(F.count(F.lit(1)).alias("nt"))
-        .join(q.groupBy("key").agg(F.count(F.lit(1)).alias("nq")), "key")
+        .join(q.groupBy("key").agg(F.count(F.lit(1)).alias("nq")).hint("merge"), "key")
         .where((F.col("nt") * F.col("nq").cast("double") > _HOT_PAIRS) | (F.col("nt") > _HOT_TARGETS) | (F.col("nq") > _HOT_QUERIES))
         .select(
             "key",
@@ -448,8 +463,7 @@ def _salted(t: DataFrame, q: DataFrame) -> tuple[DataFrame, DataFrame, list[str]
     found = hot.count()
     if found == 0:
         return t, q, ["key"]
-    if found <= _BROADCAST_ROWS:
-        hot = F.broadcast(hot)
+    hot = F.broadcast(hot) if found <= _BROADCAST_ROWS else hot.hint("merge")
     one = F.lit(1).cast("long")
 
     def split(df: DataFrame, own: str, other: str) -> DataFrame:
@@ -477,8 +491,11 @@ def meet(
     """Candidate pairs: columns of both sides prefixed ``t_`` and ``q_``.
 
     Each pair of rows that share a point appears exactly once.  ``broadcast``
-    names the side that is small enough to send everywhere, ``None`` shuffles.
+    names the side that is small enough to send everywhere, ``None`` shuffles: cells are
+    rows that size estimates know nothing of, so Spark is not left to send a side after all.
     """
+    if broadcast == "queries" and layout.query_cells >= _SPREAD_CELLS:
+        targets = _dealt(in_window(targets, layout))
     several = len(layout.levels) > 1 and layout.target_levels is not None
     t, t_lev = target_cells(targets, layout, points)
     q, q_lev = query_cells(queries, layout)
@@ -504,6 +521,8 @@ def meet(
         q = F.broadcast(q)
     elif broadcast == "targets":
         t = F.broadcast(t)
+    else:
+        q = q.hint("merge")
     pairs = t.join(q, keys)
     if points:
         return pairs
