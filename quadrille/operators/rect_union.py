@@ -17,6 +17,8 @@ from .spatial_join import as_boxes
 
 _TILE_LIMIT = 64  # boxes in one tile before it is split
 _SHARES = (0.25, 0.5, 0.75)  # a crowded tile is cut at these quantiles of its sides, on both axes
+# Joins on tiles are told to merge: estimates know only the boxes, not the tiles they are listed in,
+# and Spark would send sides of any size to every executor.
 _TILE = ("tx", "cy")
 _BOX = ("xmin", "ymin", "xmax", "ymax")
 _STRAIGHT = (3, 6, 9, 12)  # two neighbouring quadrants: the outline runs straight on
@@ -144,7 +146,7 @@ def _without_covered(rows: DataFrame, ranged: DataFrame, big: bool) -> DataFrame
         .select(*(F.col("t_" + c).alias(c) for c in _TILE))
         .distinct()
     )
-    return rows.join(covered, list(_TILE), "left_anti")
+    return rows.join(covered.hint("merge"), list(_TILE), "left_anti")
 
 
 def _cuts(rows: DataFrame) -> DataFrame:
@@ -158,7 +160,7 @@ def _cuts(rows: DataFrame) -> DataFrame:
     crowded = rows.groupBy(*_TILE).count().where(F.col("count") > _TILE_LIMIT)
     ends = [F.struct(F.lit(c[0]).alias("axis"), F.col(c).alias("at")) for c in _BOX]
     inside = (
-        rows.join(crowded, list(_TILE), "left_semi")
+        rows.join(crowded.hint("merge"), list(_TILE), "left_semi")
         .select(*_TILE, F.explode(F.array(*ends)).alias("end"))
         .select(*_TILE, "end.axis", "end.at")
         .where(F.abs("at") < math.inf)
@@ -185,7 +187,7 @@ def _split(rows: DataFrame, cuts: DataFrame, round_: int) -> DataFrame:
     Ends outside the crowded tile are infinite and lie before and behind all cuts.
     Children inside one box are dropped.
     """
-    ranged = rows.join(cuts, list(_TILE))
+    ranged = rows.join(cuts.hint("merge"), list(_TILE))
     for axis in ("x", "y"):
         behind = "size(filter(at_{0}, c -> c <= {0}{1}))"
         ranged = ranged.withColumns(
@@ -205,7 +207,7 @@ def _split(rows: DataFrame, cuts: DataFrame, round_: int) -> DataFrame:
         & (F.col("ymin") == -math.inf) & (F.col("ymax") == math.inf)
     )
     covered = children.where(covering).select(*_TILE)
-    return children.where(~covering).join(covered, list(_TILE), "left_anti")
+    return children.where(~covering).join(covered.hint("merge"), list(_TILE), "left_anti")
 
 
 def _tiles(boxes: DataFrame, ext: grid.Extents) -> DataFrame:
@@ -219,7 +221,7 @@ def _tiles(boxes: DataFrame, ext: grid.Extents) -> DataFrame:
         cuts = _cuts(rows)
         if cuts.isEmpty():
             return rows if done is None else done.unionByName(rows)
-        cool = rows.join(cuts.select(*_TILE), list(_TILE), "left_anti")
+        cool = rows.join(cuts.select(*_TILE).hint("merge"), list(_TILE), "left_anti")
         done = cool if done is None else done.unionByName(cool)
         rows = checkpointed(_split(rows, cuts, round_))
 
@@ -264,7 +266,7 @@ def rect_union(
     flat = _either(tiled, "y", "ymin", "ymax", F.col("xmin").alias("h1"), F.col("xmax").alias("h2"))
     # the sides of one rectangle meet in its corners, those of two in crossings
     vertices = (
-        upright.join(flat, list(_TILE))
+        upright.join(flat.hint("merge"), list(_TILE))
         .where("h1 <= x AND x <= h2 AND v1 <= y AND y <= v2")
         .select(*_TILE, "x", "y")
         .distinct()
@@ -274,7 +276,7 @@ def rect_union(
     quadrants = [(right & above, 1), (left & above, 2), (left & below, 4), (right & below, 8)]
     bits = sum((F.when(c, v).otherwise(0) for c, v in quadrants), F.lit(0))
     masks = (
-        vertices.join(tiled, list(_TILE))
+        vertices.join(tiled.hint("merge"), list(_TILE))
         .where(x.between(b.xmin, b.xmax) & y.between(b.ymin, b.ymax))
         .groupBy(*_TILE, "x", "y")
         .agg(F.bit_or(bits).alias("mask"))
