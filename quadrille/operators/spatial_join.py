@@ -121,6 +121,21 @@ def _in_parts(pairs: DataFrame, part_size: int) -> DataFrame:
     return pairs.join(large, "qid", "left").select("qid", "tid", part.alias("part"))
 
 
+def _no_target(pairs: DataFrame) -> Column:
+    return F.lit(None).cast(pairs.schema["tid"].dataType).alias("tid")
+
+
+def _without_match(everyone: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The query ids that occur in no pair, with a null target.
+
+    The pairs are made once more to find them, but only the ids that a task has seen are
+    moved: there may be far more pairs than rows in the tables.
+    """
+    seen = pairs.select(F.col("qid").alias("seen")).distinct()
+    left = everyone.distinct().join(seen, F.col("qid").eqNullSafe(F.col("seen")), "left_anti")
+    return left.select("qid", _no_target(pairs))
+
+
 def spatial_join(
     targets: DataFrame,
     queries: DataFrame,
@@ -165,23 +180,20 @@ def spatial_join(
         pairs = hits.select(F.col("q_qid").alias("qid"), F.col("t_tid").alias("tid"))
     everyone = queries.select(F.col(query_id).alias("qid"))
     if output == "pairs":
-        if how == "inner":
-            return pairs
-        asked = everyone.distinct().withColumnRenamed("qid", "asked")
-        return asked.join(pairs, F.col("asked").eqNullSafe(F.col("qid")), "left").select(
-            F.col("asked").alias("qid"), "tid"
-        )
+        return pairs if how == "inner" else pairs.unionByName(_without_match(everyone, pairs))
     keys = ["qid"]
     if output == "parts":
         pairs, keys = _in_parts(pairs, part_size), ["qid", "part"]
+    elif how == "left":
+        # a null target adds a query, and nothing to its list
+        pairs = pairs.unionByName(everyone.distinct().select("qid", _no_target(pairs)))
     lists = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list("tid")).alias("tids"))
-    if how == "left":
+    if how == "left" and output == "parts":
         empty = F.array().cast(lists.schema["tids"].dataType)
         asked = everyone.distinct().withColumnRenamed("qid", "asked")
         lists = (
             asked.join(lists, F.col("asked").eqNullSafe(F.col("qid")), "left").drop("qid")
             .withColumnRenamed("asked", "qid").withColumn("tids", F.coalesce("tids", empty))
+            .withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
         )
-        if output == "parts":
-            lists = lists.withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
     return lists
