@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -15,10 +16,29 @@ from .spatial_join import as_boxes, matched, side_to_broadcast
 
 # Cells per query side (as a power of two) when whole cells are counted.
 _FINER = range(3, 6)
+_FINEST = 8
+# Points that may be compared on a border for the price of one row of a query's cells.
+_BORDER_SHARE = 0.01
 # Average number of queries over a point from which counting cells pays.
 _OVERLAP = 32.0
 
 
+def _cells_layout(points: DataFrame, ext: grid.Extents) -> grid.Layout:
+    """Cells that keep the query side small enough to send.
+
+    Else cells so small that the points on a query's border cost about what its cells there
+    cost: with the root of the points a query is expected to hold, so that neither grows
+    like queries times points.
+    """
+    layout = grid.fine_layout(ext, _FINER)
+    if layout.query_cells <= grid._BROADCAST_ROWS:
+        return layout
+    area = (ext.xmax - ext.xmin) * (ext.ymax - ext.ymin)
+    held = grid.in_window(points, layout).count() * min(1.0, ext.area / ext.rows / area if area > 0 else 1.0)
+    finer = math.ceil(math.log2(max(1.0, _BORDER_SHARE * held)) / 2)
+    return grid.plan_layout(ext, None, min(max(_FINER.start, finer), _FINEST))
+
+
 def _count_by_cells(points: DataFrame, queries: DataFrame, ext: grid.Extents) -> DataFrame:
     """Cells strictly inside a query give their count; only cells on its border
     are joined with points.
@@ -26,18 +46,10 @@ def _count_by_cells(points: DataFrame, queries: DataFrame, ext: grid.Extents) ->
     A cell between the end cells of a box holds only points of the box, because
     cells are monotone in the coordinate.
     """
-    layout = grid.fine_layout(ext, _FINER)
+    layout = _cells_layout(points, ext)
     side = side_to_broadcast("auto", layout, points, None)
-    inside = (
-        (F.col("cx") > F.col("cx0")) & (F.col("cx") < F.col("cx1"))
-        & (F.col("cy") > F.col("cy0")) & (F.col("cy") < F.col("cy1"))
-    )
-    whole = grid.whole_cells(queries, layout, inside)
-    if side == "queries":
-        whole = F.broadcast(whole)
-    histogram = grid.cell_counts(points, layout)
-    from_cells = histogram.join(whole, "key").select("qid", "n")
-    border = grid.meet(points, queries, layout, True, side, query_filter=~inside)
+    from_cells = grid.inner_counts(grid.cell_counts(points, layout), queries, layout)
+    border = grid.meet(points, queries, layout, True, side, border=True)
     from_points = border.where(P.intersects(box_of("q_"), box_of("t_"))).select(
         F.col("q_qid").alias("qid"), F.col("t_n").alias("n")
     )

@@ -21,7 +21,7 @@ import math
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .materialize import checkpointed, size_estimate_bits
@@ -354,28 +354,33 @@ def _pack(layout: Layout, lev: _Lev, cx: str, cy: str) -> str:
     return f"({lev.lid} * {side} + {cx}) * {side} + {cy}"
 
 
-def _cover(df: DataFrame, layout: Layout, lev: _Lev, clip: bool) -> DataFrame:
-    """One row per covered cell: ``cx, cy, key`` and the range ``cx0 .. cy1``.
-
-    ``clip`` limits the range to the window of the queries.
-    """
+def _ranged(df: DataFrame, layout: Layout, lev: _Lev, clip: bool) -> DataFrame:
+    """Boxes with the range ``cx0 .. cy1`` of their cells; ``clip`` limits it to the window of the queries."""
     x0, y0, x1, y1 = layout.window
     lo_x, hi_x = _cell("xmin", x0, lev.ex), _cell("xmax", x0, lev.ex)
     lo_y, hi_y = _cell("ymin", y0, lev.ey), _cell("ymax", y0, lev.ey)
     if clip:
         lo_x, hi_x = f"greatest({lo_x}, 0L)", f"least({hi_x}, {_cell(_num(x1), x0, lev.ex)})"
         lo_y, hi_y = f"greatest({lo_y}, 0L)", f"least({hi_y}, {_cell(_num(y1), y0, lev.ey)})"
-    ranged = df.selectExpr(
-        "*", f"{lo_x} AS cx0", f"{hi_x} AS cx1", f"{lo_y} AS cy0", f"{hi_y} AS cy1",
-        f"explode(sequence({lo_x}, {hi_x})) AS cx",
-    )
-    return ranged.selectExpr("*", "explode(sequence(cy0, cy1)) AS cy")
+    return df.selectExpr("*", f"{lo_x} AS cx0", f"{hi_x} AS cx1", f"{lo_y} AS cy0", f"{hi_y} AS cy1")
+
+
+def _cover(df: DataFrame, layout: Layout, lev: _Lev, clip: bool, border: bool = False) -> DataFrame:
+    """One row per covered cell: ``cx, cy, key`` and the range ``cx0 .. cy1``.
+
+    ``border`` leaves out the cells between the end cells of both axes.
+    """
+    rows = "sequence(cy0, cy1)"
+    if border:
+        rows = f"IF(cx = cx0 OR cx = cx1, {rows}, array_distinct(array(cy0, cy1)))"
+    ranged = _ranged(df, layout, lev, clip).selectExpr("*", "explode(sequence(cx0, cx1)) AS cx")
+    return ranged.selectExpr("*", f"explode({rows}) AS cy")
 
 
-def query_cells(queries: DataFrame, layout: Layout) -> tuple[DataFrame, _Lev]:
+def query_cells(queries: DataFrame, layout: Layout, border: bool = False) -> tuple[DataFrame, _Lev]:
     """Query boxes on their levels, one row per covered cell."""
     df, lev = _with_levels(queries, layout, layout.query_levels, layout.target_levels)
-    return _cover(df, layout, lev, clip=False), lev
+    return _cover(df, layout, lev, clip=False, border=border), lev
 
 
 def meeting(df: DataFrame, window: tuple[float, float, float, float]) -> DataFrame:
@@ -415,14 +420,8 @@ def _point_key(layout: Layout, lev: _Lev) -> str:
     return _pack(layout, lev, _cell("xmin", x0, lev.ex), _cell("ymin", y0, lev.ey))
 
 
-def whole_cells(queries: DataFrame, layout: Layout, inside: Column) -> DataFrame:
-    """(key, qid) of the cells that satisfy ``inside``."""
-    df, lev = query_cells(queries, layout)
-    return df.where(inside).selectExpr(f"{_pack(layout, lev, 'cx', 'cy')} AS key", "qid")
-
-
 def cell_counts(points: DataFrame, layout: Layout) -> DataFrame:
-    """(key, n): points per cell on every level; coarse levels add up fine cells."""
+    """(lid, cx, cy, n): points per cell on every level; coarse levels add up fine cells."""
     (x0, y0, _, _), (base_x, base_y) = layout.window, layout.base
     fine = (
         in_window(points, layout)
@@ -432,11 +431,30 @@ def cell_counts(points: DataFrame, layout: Layout) -> DataFrame:
         .agg(F.sum("n").alias("n"))
     )
     df, lev = _with_levels(fine, layout, None, None)
-    key = _pack(
-        layout, lev,
-        f"floor(fx * pow(2.0D, double({base_x} - {lev.ex})))", f"floor(fy * pow(2.0D, double({base_y} - {lev.ey})))",
+    cells = df.selectExpr(
+        f"{lev.lid} AS lid", f"floor(fx * pow(2.0D, double({base_x} - {lev.ex}))) AS cx",
+        f"floor(fy * pow(2.0D, double({base_y} - {lev.ey}))) AS cy", "n",
+    )
+    return cells.groupBy("lid", "cx", "cy").agg(F.sum("n").alias("n"))
+
+
+def inner_counts(counts: DataFrame, queries: DataFrame, layout: Layout) -> DataFrame:
+    """(qid, n): points in the cells between the end cells of each query, as told by ``cell_counts``.
+
+    Each row of cells has running sums, and a query takes the difference of two in each of
+    its inner rows: it is listed by height, not by area.
+    """
+    df, lev = _with_levels(queries, layout, layout.query_levels, layout.target_levels)
+    ends = (
+        _ranged(df, layout, lev, clip=False).where("cx1 - cx0 > 1 AND cy1 - cy0 > 1")
+        .selectExpr(f"{lev.lid} AS lid", "qid", "cx0", "cx1", "explode(sequence(cy0 + 1, cy1 - 1)) AS cy")
+        .selectExpr("lid", "cy", "qid", "inline(array(struct(cx0 AS cx, -1L AS sign), struct(cx1 - 1 AS cx, 1L AS sign)))")
+        .withColumn("n", F.lit(0).cast("long"))
     )
-    return df.groupBy(F.expr(key).alias("key")).agg(F.sum("n").alias("n"))
+    nobody = F.lit(None).cast(queries.schema["qid"].dataType)
+    marks = ends.unionByName(counts.withColumns({"qid": nobody, "sign": F.lit(0).cast("long")}))
+    so_far = marks.selectExpr("qid", "sign", "sum(n) OVER (PARTITION BY lid, cy ORDER BY cx) AS n").where("sign != 0")
+    return so_far.groupBy("qid").agg(F.expr("sum(sign * n) AS n")).where("n > 0")
 
 
 def _salted(t: DataFrame, q: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -486,21 +504,20 @@ def meet(
     layout: Layout,
     points: bool,
     broadcast: str | None,
-    query_filter: Column | None = None,
+    border: bool = False,
 ) -> DataFrame:
     """Candidate pairs: columns of both sides prefixed ``t_`` and ``q_``.
 
     Each pair of rows that share a point appears exactly once.  ``broadcast``
     names the side that is small enough to send everywhere, ``None`` shuffles: cells are
     rows that size estimates know nothing of, so Spark is not left to send a side after all.
+    ``border``: only in the cells on the border of a query.
     """
     if broadcast == "queries" and layout.query_cells >= _SPREAD_CELLS:
         targets = _dealt(in_window(targets, layout))
     several = len(layout.levels) > 1 and layout.target_levels is not None
     t, t_lev = target_cells(targets, layout, points)
-    q, q_lev = query_cells(queries, layout)
-    if query_filter is not None:
-        q = q.where(query_filter)
+    q, q_lev = query_cells(queries, layout, border)
     corner, level, cell = [], [], []
     if not points:
         corner, cell = ["cx0", "cy0"], ["cx", "cy"]

@@ -64,3 +64,31 @@ def test_results_in_files_are_not_copied(spark):
     for name in ("stream_range", "hull_lines"):
         text = plan(entry.queries()[name](spark, SF))
         assert "FileScan" in text and "ExistingRDD" not in text
+
+
+def test_inner_cells_are_not_listed_one_by_one(spark, monkeypatch):
+    items, wide = entry.items(spark, SF), entry.wide(spark, SF)
+    want = sorted(map(tuple, qd.spatial_count(items, wide, strategy="shuffle").collect()))
+    listed, plain = [], grid.query_cells
+    monkeypatch.setattr(grid, "query_cells", lambda *a: listed.append(plain(*a)) or listed[-1])
+    for limit in (grid._BROADCAST_ROWS, 1):
+        monkeypatch.setattr(grid, "_BROADCAST_ROWS", limit)
+        found = qd.spatial_count(items, wide, strategy="cells")
+        assert sorted(map(tuple, found.collect())) == want
+        cells = listed[-1][0]
+        assert cells.where("cx > cx0 AND cx < cx1 AND cy > cy0 AND cy < cy1").isEmpty()
+
+
+def test_cells_become_smaller_with_the_points(spark, monkeypatch):
+    from quadrille.operators import spatial_count as count_module
+
+    points = spark.range(40000).selectExpr("double(id % 200) AS x", "double(id div 200) AS y")
+    q = spark.createDataFrame([(None if i == 3 else i % 5, 9.0 * i, 7.0 * i, 9.0 * i + 90, 7.0 * i + 80) for i in range(12)], BOX)
+    want = sorted(map(tuple, qd.spatial_count(points, q, strategy="shuffle").collect()), key=str)
+    monkeypatch.setattr(grid, "_BROADCAST_ROWS", 1)
+    layouts, plain = [], count_module._cells_layout
+    monkeypatch.setattr(count_module, "_cells_layout", lambda *a: layouts.append(plain(*a)) or layouts[-1])
+    for share in (0.001, 10.0):
+        monkeypatch.setattr(count_module, "_BORDER_SHARE", share)
+        assert sorted(map(tuple, qd.spatial_count(points, q, strategy="cells").collect()), key=str) == want
+    assert [layout.finer for layout in layouts] == [3, 8]
