@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.plans.materialize import checkpointed
+from quadrille.plans.materialize import checkpointed, shuffles_released
 
 SLICE_BYTES = 1 << 20
 
@@ -112,7 +112,8 @@ def _ordered(links: DataFrame) -> DataFrame:
 
 
 def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+    with shuffles_released(edges.sparkSession):
+        return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

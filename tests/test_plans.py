@@ -1,5 +1,7 @@
 """The physical plans have the intended shape."""
 
+import time
+
 import __spark_entry__ as entry
 import quadrille as qd
 from pyspark.sql import functions as F
@@ -93,3 +95,22 @@ def test_layouts_of_unmeasured_targets(spark):
     )
     for strategy in ("auto", "broadcast", "shuffle"):
         assert sorted(map(tuple, qd.spatial_join(t, q, strategy=strategy).collect())) == want
+
+
+def test_a_stored_frame_leaves_no_shuffle_files(spark):
+    def shuffle_files():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before, setting = shuffle_files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    dealt = spark.range(1000).repartition(3, "id")
+    kept = checkpointed(dealt)
+    for _ in range(50):  # executors delete them on their own time
+        if shuffle_files() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files() <= before
+    assert sorted(r[0] for r in kept.collect()) == list(range(1000)) and dealt.count() == 1000
+    assert spark.conf.get(setting) == was
