@@ -1,5 +1,7 @@
 """Plans that stay within their bounds when the tables grow."""
 
+import os
+
 import __spark_entry__ as entry
 import pytest
 import quadrille as qd
@@ -92,3 +94,18 @@ def test_cells_become_smaller_with_the_points(spark, monkeypatch):
         monkeypatch.setattr(count_module, "_BORDER_SHARE", share)
         assert sorted(map(tuple, qd.spatial_count(points, q, strategy="cells").collect()), key=str) == want
     assert [layout.finer for layout in layouts] == [3, 8]
+
+
+def test_batches_of_a_stream_are_packed(spark, tmp_path):
+    # all supplier keys make the same rectangle, with every order in it
+    spark.range(2000).selectExpr(
+        "id * 37 % 100003 AS o_orderkey", "timestamp '1995-01-01' + make_dt_interval(int(id % 90)) AS o_orderdate",
+        "double(id * 7 % 25000) AS o_totalprice",
+    ).coalesce(1).write.parquet(str(tmp_path / "made"))
+    next((tmp_path / "made").glob("*.parquet")).rename(tmp_path / "orders.parquet")
+    spark.range(100).selectExpr("id * 1500000 AS s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    found = entry.queries()["stream_join"](spark, str(tmp_path))
+    kept = sum(os.path.getsize(name.removeprefix("file://")) for name in found.inputFiles())
+    found.coalesce(1).write.parquet(str(tmp_path / "plain"))
+    plain = sum(f.stat().st_size for f in (tmp_path / "plain").glob("*.parquet"))
+    assert found.count() == 200000 == found.distinct().count() and kept < 0.6 * plain
