@@ -6,6 +6,7 @@ import __spark_entry__ as entry
 import pytest
 import quadrille as qd
 from quadrille.plans import grid
+from quadrille.sources import text as text_module
 
 SF = "/root/testdata/sf0.001"
 BOX = "id long, x1 double, y1 double, x2 double, y2 double"
@@ -109,3 +110,32 @@ def test_batches_of_a_stream_are_packed(spark, tmp_path):
     found.coalesce(1).write.parquet(str(tmp_path / "plain"))
     plain = sum(f.stat().st_size for f in (tmp_path / "plain").glob("*.parquet"))
     assert found.count() == 200000 == found.distinct().count() and kept < 0.6 * plain
+
+
+def test_lists_are_computed_once_for_their_lines(spark, monkeypatch):
+    for name in ("join_lines", "join_lines_points"):
+        want = entry.queries()[name](spark, SF)
+        assert "rangepartitioning" in plan(want)
+        with monkeypatch.context() as few:
+            few.setattr(text_module, "_MIN_IDS", 1)
+            few.setattr(text_module, "_RANGE_IDS", 2)
+            found = entry.queries()[name](spark, SF)
+        assert "rangepartitioning" not in plan(found)
+        assert [r.value for r in found.collect()] == [r.value for r in want.collect()]
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_lines_of_many_ids_are_in_order(spark, monkeypatch, kind):
+    monkeypatch.setattr(text_module, "_MIN_IDS", 1)
+    monkeypatch.setattr(text_module, "_RANGE_IDS", 3)
+    ids = spark.range(60).selectExpr(f"CAST(IF(id % 9 = 4, NULL, (id * 7 % 40 - 5) * 3) AS {kind}) AS id")
+    if kind == "double":
+        ids = ids.unionByName(spark.sql("SELECT double('NaN') AS id UNION ALL SELECT double('-Infinity')"))
+    # ids without a list, lists of ids that nobody named, null ids, many parts of one id
+    lists = ids.where("id IS NULL OR id > 0").unionByName(spark.sql(f"SELECT CAST(500 AS {kind}) AS id UNION ALL SELECT CAST(-500 AS {kind})"))
+    parts = lists.distinct().selectExpr("id AS qid", "explode(array(2L, 0L, 1L)) AS part").selectExpr(
+        "qid", "part", "IF(part = 1, array(), array(part, 9L)) AS tids"
+    )
+    for result in (parts, parts.where("part = 2").drop("part")):
+        for asked in (ids, ids.where("id IS NULL"), ids.limit(0)):
+            assert qd.to_lines(result, asked).collect() == qd.to_lines(result).collect()
