@@ -1,6 +1,7 @@
 """Plans that stay within their bounds when the tables grow."""
 
 import os
+import time
 
 import __spark_entry__ as entry
 import pytest
@@ -139,3 +140,18 @@ def test_lines_of_many_ids_are_in_order(spark, monkeypatch, kind):
     for result in (parts, parts.where("part = 2").drop("part")):
         for asked in (ids, ids.where("id IS NULL"), ids.limit(0)):
             assert qd.to_lines(result, asked).collect() == qd.to_lines(result).collect()
+
+
+def test_text_output_leaves_no_shuffle_files(spark):
+    def shuffle_files():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffle_files()
+    lines = entry.queries()["join_from_files"](spark, SF)
+    for _ in range(50):  # they are deleted in the background
+        if shuffle_files() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files() <= before and lines.count() > 0
